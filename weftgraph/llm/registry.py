@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from weftgraph.llm import graph_queries, history_queries, leakage_queries, packing_queries, prose_queries, splitting_queries
+from weftgraph.llm import graph_queries, history_queries, leakage_queries, neighbours_queries, packing_queries, prose_queries, splitting_queries
 
-MODULES = (graph_queries, splitting_queries, history_queries, packing_queries, leakage_queries, prose_queries)
+MODULES = (graph_queries, splitting_queries, neighbours_queries, history_queries, packing_queries, leakage_queries, prose_queries)
 
 
 def queries() -> dict[str, Callable]:
