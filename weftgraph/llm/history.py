@@ -236,7 +236,7 @@ class NameIndex:
         Concepts that nothing in the index equals are left out.
         """
         own = cut(keys.select("letters", "signs")).withColumn("kid", F.monotonically_increasing_id())
-        probes = _with_tokens(own, ["kid"], True).distinct()
+        probes = _with_tokens(own, ["kid"], True)
         found = probes.join(self.postings().drop("bucket"), "token").select(
             "kid", F.col("letters").alias("l"), F.col("signs").alias("s"), "batch", "record"
         )
