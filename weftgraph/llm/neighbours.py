@@ -6,12 +6,14 @@ on their own centroid's side of the border to the other centroid; that sum bound
 are, and the traversal ends where it exceeds a share of the greatest distance asked for. Entries of the cells are reranked
 by exact cosines. Pairs found from either side count for both.
 
-Vectors travel once to each first-half list that one of their cells is in. Lists are split so that no task holds more than
-a bounded number of entries; queries stream past them. Vectors with many identical copies take part once.
+Vectors travel once to each first-half list that one of their cells is in. Lists are split by entries, so that no task holds
+more than a bounded number, and by queries, as a list in the middle of all vectors is near to most of them; queries stream
+past the entries. Vectors with many identical copies take part once.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -29,8 +31,8 @@ SAMPLE, ROUNDS = 20_000, 10
 #: Vectors for each cell, on average, that the number of centroids aims at, and the most centroids of a half.
 FILL, MOST = 32, 1024
 
-#: Entries of a list that one task holds.
-LIST = 20_000
+#: Entries of a list that one task holds, and queries that stream past them in one task, as expected from the sample.
+LIST, QUERIES = 20_000, 20_000
 
 #: Share of the greatest squared distance asked for that the traversal's bound may reach. The differences of close vectors
 #: spread over all directions, so little of them is across one border; the share is measured, not derived.
@@ -114,12 +116,26 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-_ROUTED = "list int, part int, entry boolean, id bigint, cells binary, vector binary"
+_ROUTED = "list int, part int, entry boolean, asks boolean, id bigint, cells binary, vector binary"
 _PAIRS = "a bigint, b bigint, cosine double"
 
 
-def _routes(dim: int, index: MultiIndex, splits: dict[int, int], limit: float):
-    """Each vector to all lists that hold one of its cells, with the second halves of these cells; home cell first."""
+def cells_by_list(own: tuple[int, int], first: np.ndarray, second: np.ndarray, limit: float) -> dict[int, list[int]]:
+    """By first half the second halves of the cells to look into; the own cell comes first."""
+    found: dict[int, list[int]] = {own[0]: [own[1]]}
+    for c1, c2 in traverse(first, second, limit):
+        into = found.setdefault(c1, [])
+        if (c1, c2) != own:
+            into.append(c2)
+    return found
+
+
+def _routes(dim: int, index: MultiIndex, splits: dict[int, tuple[int, int]], limit: float):
+    """Each vector to all lists that hold one of its cells, with the second halves of these cells; home cell first.
+
+    A list's parts are numbered by entries and then queries: an entry is in all query parts of its own entry part, a query in
+    its own query part of all entry parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -130,21 +146,20 @@ def _routes(dim: int, index: MultiIndex, splits: dict[int, int], limit: float):
                     continue
                 ids = batch.column(0).take(pa.array(at)).to_numpy()
                 (own1, near1), (own2, near2) = index.borders(rows)
-                lists, parts, entry, owner, cells = [], [], [], [], []
+                lists, parts, entry, asks, owner, cells = [], [], [], [], [], []
                 for i in range(len(at)):
-                    by_list: dict[int, list[int]] = {int(own1[i]): [int(own2[i])]}
-                    for c1, c2 in traverse(near1[i], near2[i], limit):
-                        into = by_list.setdefault(c1, [])
-                        if not (into and into[0] == c2):
-                            into.append(c2)
-                    for c1, c2s in by_list.items():
-                        n = splits.get(c1, 1)
-                        home = int(ids[i]) % n if c1 == own1[i] else -1
+                    home = int(own1[i])
+                    for c1, c2s in cells_by_list((home, int(own2[i])), near1[i], near2[i], limit).items():
+                        by_entry, by_query = splits.get(c1, (1, 1))
+                        e, q = int(ids[i]) % by_entry, (int(ids[i]) // by_entry) % by_query
                         codes = np.array(c2s, dtype=np.uint16).tobytes()
-                        for part in range(n):
+                        asked = {x * by_query + q for x in range(by_entry)}
+                        held = {e * by_query + x for x in range(by_query)} if c1 == home else set()
+                        for part in sorted(asked | held):
                             lists.append(c1)
                             parts.append(part)
-                            entry.append(part == home)
+                            entry.append(part in held)
+                            asks.append(part in asked)
                             owner.append(i)
                             cells.append(codes)
                 yield pa.RecordBatch.from_arrays(
@@ -152,11 +167,12 @@ def _routes(dim: int, index: MultiIndex, splits: dict[int, int], limit: float):
                         pa.array(lists, pa.int32()),
                         pa.array(parts, pa.int32()),
                         pa.array(entry, pa.bool_()),
+                        pa.array(asks, pa.bool_()),
                         pa.array(ids[owner]),
                         pa.array(cells, pa.binary()),
                         _binary(rows[owner]),
                     ],
-                    names=["list", "part", "entry", "id", "cells", "vector"],
+                    names=["list", "part", "entry", "asks", "id", "cells", "vector"],
                 )
 
     return run
@@ -216,7 +232,7 @@ def _rerank(dim: int, k: int, least: float):
                 ids, cells, rows = (np.concatenate([h[i] for h in held]) for i in range(3))
                 order = np.argsort(cells, kind="stable")
                 entries = ids[order], cells[order], rows[order]
-            if asked and entries:
+            if waiting and entries:
                 result = within(
                     entries, np.concatenate([x[0] for x in asked]), [c for x in asked for c in x[1]], np.concatenate([x[2] for x in asked])
                 )
@@ -225,7 +241,7 @@ def _rerank(dim: int, k: int, least: float):
             asked, waiting = [], 0
 
         for batch in batches:
-            lists, parts, entry, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            lists, parts, entry, asks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             heads = np.flatnonzero((np.diff(lists, prepend=-1) != 0) | (np.diff(parts, prepend=-1) != 0))
             heads = np.unique(np.append(heads, 0))
             for low, high in zip(heads, np.append(heads[1:], batch.num_rows)):
@@ -233,13 +249,13 @@ def _rerank(dim: int, k: int, least: float):
                     yield from answers()
                     now, held, entries = (lists[low], parts[low]), [], None
                 part = batch.slice(low, high - low)
-                cells, rows = part.column(4).to_pylist(), _vectors(part.column(5), dim)
-                mine = entry[low:high].astype(bool)
+                cells, rows = part.column(5).to_pylist(), _vectors(part.column(6), dim)
+                mine, own = entry[low:high].astype(bool), asks[low:high].astype(bool)
                 if mine.any():
                     home = np.array([int.from_bytes(c[:2], "little") for c, m in zip(cells, mine) if m], dtype=np.int64)
                     held.append((ids[low:high][mine], home, rows[mine]))
-                asked.append((ids[low:high], cells, rows))
-                waiting += len(rows)
+                asked.append((ids[low:high][own], [c for c, o in zip(cells, own) if o], rows[own]))
+                waiting += int(own.sum())
                 if waiting >= 20_000 and not mine[-1]:
                     yield from answers()
         yield from answers()
@@ -288,8 +304,13 @@ def nearest(
         dropped = copies.where("id <> first").select("id")
         searched, rows = coded.join(dropped, "id", "left_anti"), rows.join(dropped, "id", "left_anti")
     counts = searched.groupBy("list").count().collect()  # as many rows as centroids
-    splits = {r["list"]: -(-r["count"] // LIST) for r in counts if r["count"] > LIST}
-    routed = rows.mapInArrow(_routes(dim, index, splits, spread * 2 * (1 - least)), _ROUTED)
+    limit = spread * 2 * (1 - least)
+    (own1, near1), (own2, near2) = index.borders(sample)
+    near = Counter(c for i in range(len(sample)) for c in cells_by_list((own1[i], own2[i]), near1[i], near2[i], limit))
+    splits = {
+        r["list"]: (-(-r["count"] // LIST), max(1, round(near[r["list"]] * n / len(sample) / QUERIES))) for r in counts
+    }
+    routed = rows.mapInArrow(_routes(dim, index, splits, limit), _ROUTED)
     routed = routed.repartition("list", "part").sortWithinPartitions("list", "part", F.desc("entry"))
     pairs = routed.mapInArrow(_rerank(dim, k, least), _PAIRS).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     ends = F.array(
