@@ -60,3 +60,40 @@ def pending(scan: DataFrame, manifest: DataFrame) -> DataFrame:
     everything = scan.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("lo"), F.lit(total).cast("bigint").alias("hi"))
     gaps = subtracted(everything, islands(papers.where("done")))
     return inside(papers, gaps).select("arxiv_id")
+
+
+def content_hash(text: Column) -> Column:
+    """sha-256 of a text."""
+    return F.sha2(text, 256)
+
+
+def intake(papers: DataFrame, manifest: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Manifest records of papers (arxiv_id, content_hash) that are new, changed or not finished.
+
+    Metadata overwrites what was known, with nulls too; columns that intake doesn't set keep the known values.
+    """
+    known = manifest.withColumnsRenamed({"content_hash": "known_hash", "status": "known_status"}).drop(
+        "previous_hash", "title", "authors", "submitted", "categories"
+    )
+    joined = papers.join(known, "arxiv_id", "left").join(metadata, "arxiv_id", "left")
+    same = F.coalesce((F.col("known_hash") == F.col("content_hash")) & (F.col("known_status") == "indexed"), F.lit(False))
+    changed = joined.where(~same).withColumn("previous_hash", F.col("known_hash"))
+    return changed.withColumn("status", F.when(F.col("known_hash").isNull(), "new").otherwise("changed")).drop("known_hash", "known_status")
+
+
+def replaced(documents: DataFrame, fresh: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents with those of ``fresh`` in place of older ones with the same key."""
+    return documents.join(fresh.select(key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
+
+
+def with_status(manifest: DataFrame, processed: DataFrame) -> DataFrame:
+    """The manifest with status indexed or failed for papers (arxiv_id, doc_status) of a run; others keep theirs."""
+    joined = manifest.join(processed.select("arxiv_id", "doc_status"), "arxiv_id", "left")
+    done = F.when(F.lower("doc_status").endswith("processed"), "indexed").otherwise("failed")
+    return joined.withColumn("status", F.when(F.col("doc_status").isNull(), F.col("status")).otherwise(done)).drop("doc_status")
+
+
+def in_corpus(entries: DataFrame, manifest: DataFrame) -> DataFrame:
+    """References (with arxiv_id) and whether the paper they name is in the manifest."""
+    known = manifest.select("arxiv_id").where("arxiv_id IS NOT NULL").distinct().withColumn("in_corpus", F.lit(True))
+    return entries.join(known, "arxiv_id", "left").withColumn("in_corpus", F.coalesce("in_corpus", F.lit(False)))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from weftgraph import queries_core
+from weftgraph import graph_queries, queries_core
+
+MODULES = (queries_core, graph_queries)
 
 
 def queries() -> dict[str, Callable]:
-    return dict(queries_core.QUERIES)
+    return {name: query for m in MODULES for name, query in m.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
-    return dict(queries_core.ORACLES)
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
