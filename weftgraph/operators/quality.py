@@ -18,7 +18,7 @@ def extraction_rows(cache: DataFrame) -> DataFrame:
     return cache.where("cache_type = 'extract'").select(
         "chunk_id",
         kind.alias("kind"),
-        F.transform(F.regexp_extract_all(text, F.lit(ENTITY_ROW), F.lit(1)), F.trim).alias("names"),
+        F.transform(F.regexp_extract_all(text, F.lit(ENTITY_ROW), F.lit(1)), lambda n: F.trim(n)).alias("names"),
         F.regexp_count(text, F.lit(RELATION_ROW)).alias("relations"),
     )
 

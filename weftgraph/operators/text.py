@@ -151,7 +151,7 @@ def doi(text: Column) -> Column:
 
 def citation_numbers(text: Column) -> Column:
     """Numbers of a citation such as ``1, 3-5`` in order; ranges of 50 or more are left out."""
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda p: F.trim(p))
     low = lambda p: F.regexp_extract(p, r"^(\d+)", 1).cast("int")
     high = lambda p: F.regexp_extract(p, r"(\d+)$", 1).cast("int")
     ranged = r"^\d+\s*[–-]\s*\d+$"
