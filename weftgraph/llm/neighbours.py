@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.plans.lineage import cut
 
-#: Vectors the centroids are fitted on, those with the least hashes of their ids; and rounds of the fit.
+#: Vectors the centroids are fitted on, about, chosen by the hashes of their ids (twice as many at most); rounds of the fit.
 SAMPLE, ROUNDS = 20_000, 10
 
 #: Vectors for each cell, on average, that the number of centroids aims at, and the most centroids of a half.
@@ -279,7 +279,8 @@ def nearest(
     schema = f"{key} bigint, neighbour bigint, cosine double, rank int"
     if not n or (dim or 0) < 2:
         return spark.createDataFrame([], schema)
-    picked = rows.where(F.size("v") == dim).orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()  # bounded
+    share = F.lit(int(min(1.0, SAMPLE / n) * (1 << 30)))
+    picked = rows.where((F.size("v") == dim) & (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)).limit(2 * SAMPLE).toArrow()
     sample = valid(picked.column(1).combine_chunks(), dim)[1]
     if not len(sample):
         return spark.createDataFrame([], schema)
