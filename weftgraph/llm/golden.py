@@ -65,9 +65,9 @@ def best_bundles(
     Further columns of either table are ignored. Field names must differ between bundles.
     """
     members = members.select(F.col(group).alias("g"), F.col(on).alias("k")).where("g IS NOT NULL AND k IS NOT NULL").distinct()
-    rows = rows.withColumn("k", F.col(on)).where(F.col("k").isNotNull())
+    rows = rows.withColumn("__key", F.col(on)).where("__key IS NOT NULL")
     free = [b for b in bundles if not _signed(b, dependencies)]
-    per_key = rows.groupBy("k").agg(
+    per_key = rows.groupBy(F.col("__key").alias("k")).agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.max(_candidate(b)).alias(f"b_{b.name}") for b in free]
     )
     result = (
@@ -88,7 +88,7 @@ def _search(members: DataFrame, rows: DataFrame, bundles: list[Bundle], dependen
     def lifted(keys: list[Column], *aggregates: tuple[str, Column]) -> DataFrame:
         """An aggregate by key and signature, carried from keys to groups."""
         names = [f"s{i}" for i in range(len(keys))]
-        small = rows.groupBy("k", *[k.alias(n) for k, n in zip(keys, names)]).agg(*[F.max(c).alias(n) for n, c in aggregates])
+        small = rows.groupBy(F.col("__key").alias("k"), *[k.alias(n) for k, n in zip(keys, names)]).agg(*[F.max(c).alias(n) for n, c in aggregates])
         return members.join(small, "k").groupBy("g", *names).agg(*[F.max(n).alias(n) for n, _ in aggregates])
 
     total = sum((F.coalesce(b.trust.cast("double"), F.lit(-1.0)) for b in bundles), F.lit(0.0))

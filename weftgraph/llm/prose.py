@@ -124,7 +124,7 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
         for i, part in enumerate(parts):
             n = len(words[i])
             if n >= 3:
-                key = " ".join(words[i])
+                key = " ".join(part.lower().split())
                 if key in seen:
                     units["repeat"] += n
                     continue
