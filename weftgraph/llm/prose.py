@@ -30,6 +30,9 @@ CLASSES = ("lower", "upper", "digit", "blank", "end mark", "other mark", "symbol
 #: Function words by rank, and all other words.
 RANKS = (3, 8, 16, 32, 1 << 30)
 
+#: Words below which, on average, units that each fill a line of their own are phrases of a list rather than sentences.
+PHRASE = 8.5
+
 #: Weights of the divergences over units, character classes and function words.
 WEIGHTS = (0.7, 0.15, 0.15)
 
@@ -50,6 +53,7 @@ _HEADING = re.compile(r"#{1,6}\s|(?:\*\*|__).{1,120}(?:\*\*|__)\s*$|={3,}|-{3,}|
 _QUOTE = re.compile(r"(?:>|//|\|(?=\s[^|]*$))+\s*")
 _CELLS = re.compile(r"\s*\|\s*|\t+| & |(?<=\S)\s{3,}(?=\S)| {2,}(?=[-\d.]+(?:\s|$))")
 _TIGHT = re.compile(r"[;,](?=\S)")
+_LAST_NUMBER = re.compile(r"[,;]\s+[-+]?\d[\d.,%]*[.;]?$")
 _LEADERS = ("....", ". . . .", "……", "____")
 _SPLIT = re.compile(r"(?<=[.!?…])[\"'”’»)\]*_]*\s+(?=[\"'“‘«(\[¿¡*_]*[^\W_])")
 _CLOSED = re.compile(r"[.!?…:][\"'”’»)\]*_]*$")
@@ -80,8 +84,9 @@ def _is_sentence(text: str, words: list[str], shared: int) -> bool:
     n = len(words)
     if not 5 <= n <= 90 or shared > 0.6 * n:
         return False
-    marks = text.count(",") + text.count(";")
-    if marks >= 4 and marks * 4.5 > n:
+    stops = text.count(";")
+    marks = text.count(",") + stops
+    if stops >= 4 or (marks >= 4 and marks * 4.5 > n):
         return False
     return n >= 0.55 * len(text.split()) and not any(x in text for x in _LEADERS)
 
@@ -108,10 +113,14 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
     units = result.units
     seen: set[str] = set()
     pending: list[str] = []
+    alone: list[int] = []
+    count = 0
 
     def close_paragraph(kind: str) -> None:
+        nonlocal count
         if not pending:
             return
+        whole = {line for line in pending if line[-1] in ".!?"}
         parts = _SPLIT.split(" ".join(pending))
         pending.clear()
         words = [_WORD.findall(p.lower()) for p in parts]
@@ -133,6 +142,9 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
             if closed and (kind == "scrap" or n >= 10) and _is_sentence(part, words[i], shared[i]):
                 units["sentence"] += n
                 before = True
+                count += 1
+                if part in whole:
+                    alone.append(n)
             else:
                 units[kind] += n or len(part.split())
 
@@ -156,7 +168,7 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
             kind = "scrap"
             units["heading"] += len(_WORD.findall(line))
             continue
-        cells = _cells(line)
+        cells = 3 if last in "0123456789.;" and _LAST_NUMBER.search(line) else _cells(line)
         if cells >= 3 or (cells == 2 and len(line) < 120 and not _CLOSED.search(line[-6:])):
             close_paragraph(kind)
             kind = "scrap"
@@ -168,6 +180,9 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
             line = line[m.end() :]
         pending.append(line)
     close_paragraph(kind)
+    if len(alone) >= 5 and len(alone) >= 0.8 * count and sum(alone) < PHRASE * len(alone):
+        units["item"] += units["sentence"]
+        units["sentence"] = 0
     return result
 
 
