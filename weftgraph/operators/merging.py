@@ -57,7 +57,7 @@ def merged_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
 def merge_log(mapping: DataFrame, nodes: DataFrame, method: str) -> DataFrame:
     """(canonical, aliases, method, types): one row per merge; mapping has (name, canonical)."""
     types = nodes.select("name", "type")
-    rows = mapping.join(types, "name")
+    rows = mapping.select("name", "canonical").join(types, "name")
     return rows.groupBy("canonical").agg(
         F.sort_array(F.collect_set(F.when(F.col("name") != F.col("canonical"), F.col("name")))).alias("aliases"),
         F.lit(method).alias("method"),
