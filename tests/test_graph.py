@@ -13,8 +13,9 @@ def test_alias_chains(spark):
     rows = [("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("t", "x"), ("u", "t"), ("s", "s")] + [(f"n{i}", f"n{i + 1}") for i in range(50)]
     table = spark.createDataFrame(rows, "alias string, canonical string")
     names = spark.createDataFrame([(n,) for n in ["a", "c", "d", "x", "y", "t", "u", "s", "n0", "n49", "q"]], "name string")
-    found = {r["name"]: r["final"] for r in aliases.resolved(table, names).collect()}
-    assert found == {"a": "d", "c": "d", "d": "d", "x": "x", "y": "y", "t": "x", "u": "x", "s": "s", "n0": "n50", "n49": "n50", "q": "q"}
+    for bound in (1000, 5):
+        found = {r["name"]: r["final"] for r in aliases.resolved(table, names, bound=bound).collect()}
+        assert found == {"a": "d", "c": "d", "d": "d", "x": "x", "y": "y", "t": "x", "u": "x", "s": "s", "n0": "n50", "n49": "n50", "q": "q"}
     assert aliases.resolved(table.limit(0), names).where("name <> final").count() == 0
 
 
@@ -66,7 +67,9 @@ def test_components_and_cover(spark):
         assert all(len(c) <= 8 for c in found.values())
         for a, b, _ in pairs:
             assert a == b or any({a, b} <= c for c in found.values())
-    labels = {r["name"]: r["component"] for r in clusters.components(df).collect()}
+    by_bound = [{tuple(r) for r in clusters.components(df, bound).collect()} for bound in (1000, 5)]
+    labels = dict(by_bound[0])
+    assert by_bound[0] == by_bound[1]
     assert all(labels[a] == labels[b] for a, b, _ in pairs if a != b)
     assert all(labels[f"p{i}"] == "p0" for i in range(31))
     assert clusters.components(df.limit(0)).count() == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,9 @@ from weftgraph.functions.names import norm_key
 from weftgraph.functions.strings import filled, trimmed
 from weftgraph.plans.lineage import cut
 
+#: Most aliases that one task follows; about 200 bytes each.
+BOUND = 500_000
+
 
 def decided(rows: DataFrame) -> DataFrame:
     """Rows with trimmed names and lower-case verdicts; rows without both names are left out."""
@@ -67,17 +73,39 @@ def _doubled(step: DataFrame) -> tuple[DataFrame, DataFrame]:
     return done, open_now
 
 
-def resolved(aliases: DataFrame, names: DataFrame, name: str = "name") -> DataFrame:
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Follows every alias of one task's table to its end, or to the first name seen before."""
+    step: dict[str, str] = {}
+    for batch in batches:
+        step.update(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    final: dict[str, str] = {}
+    for start in step:
+        trail, here = {}, start
+        while here in step and here not in trail and here not in final:
+            trail[here] = len(trail)
+            here = step[here]
+        if here in trail:
+            final.update({n: n if i >= trail[here] else here for n, i in trail.items()})
+        else:
+            final.update(dict.fromkeys(trail, final.get(here, here)))
+    yield pa.RecordBatch.from_pydict({"at": pa.array(list(final), pa.string()), "to": pa.array(list(final.values()), pa.string())})
+
+
+def resolved(aliases: DataFrame, names: DataFrame, name: str = "name", bound: int = BOUND) -> DataFrame:
     """(name, final): where each name leads by following (alias, canonical) until it is no alias, or has been seen before.
 
     A name on a cycle leads to itself, a name that leads to a cycle to the first name on it. Names that are no alias lead
-    to themselves. ``aliases`` must have one row per alias. Chains of n aliases take log n rounds of joins.
+    to themselves. ``aliases`` must have one row per alias. At most ``bound`` aliases are followed by one task; of more,
+    chains of n aliases take log n rounds of joins.
     """
     step = cut(aliases.select(F.col("alias").alias("at"), F.col("canonical").alias("to")).where("at <> to"))
-    found, stuck = _doubled(step)
-    cycles = cut(stuck.select(F.col("to").alias("at")).distinct())
-    if not cycles.isEmpty():
-        found = _doubled(cut(step.join(cycles, "at", "left_anti")))[0]
+    if step.count() <= bound:
+        found = step.coalesce(1).mapInArrow(_followed, "at string, to string")
+    else:
+        found, stuck = _doubled(step)
+        cycles = cut(stuck.select(F.col("to").alias("at")).distinct())
+        if not cycles.isEmpty():
+            found = _doubled(cut(step.join(cycles, "at", "left_anti")))[0]
     found = found.select(F.col("at").alias(name), F.col("to").alias("final"))
     return names.select(name).join(found, name, "left").select(name, F.coalesce("final", name).alias("final"))
 

@@ -3,18 +3,44 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.plans.lineage import cut
 
+#: Most edges that one task unites; about 200 bytes each.
+BOUND = 500_000
 
-def components(edges: DataFrame) -> DataFrame:
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the edges of one task: each name with the least name of its group."""
+    parent: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    names = list(parent)
+    yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "component": pa.array([find(n) for n in names], pa.string())})
+
+
+def components(edges: DataFrame, bound: int = BOUND) -> DataFrame:
     """(name, component) of every name in an edge (a, b); the component is its least name.
 
-    Alternates two steps until nothing changes: every name's greater neighbours are linked to its least neighbour, then every
+    At most ``bound`` different edges are united by one task. More are worked on by all:
+    two steps alternate until nothing changes: every name's greater neighbours are linked to its least neighbour, then every
     name with its lesser neighbours to the least of them. Each is one aggregation and one join, and both keep the components.
     The join on a hot name is split by adaptive execution; no neighbourhood is collected.
     """
@@ -30,6 +56,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     pairs, before = cut(pairs), None
+    if pairs.count() <= bound:
+        return pairs.coalesce(1).mapInArrow(_united, "name string, component string")
     while True:
         pairs = cut(starred(starred(pairs, True), False))
         now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
@@ -91,8 +119,6 @@ def ego_cover(weighted: DataFrame, most: int = 8, largest: int = 100_000) -> Dat
 
 
 def _stars(pairs: DataFrame, most: int) -> DataFrame:
-    from pyspark.sql import Window
-
     ends = pairs.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("degree"))
     a, b = (ends.withColumnsRenamed({"name": x, "degree": f"d_{x}"}) for x in ("a", "b"))
     rated = pairs.join(a, "a").join(b, "b")

@@ -35,6 +35,15 @@ def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """``scan``, dealt to all cores if its files are fewer than cores; for costly work on few files.
+
+    Large inputs have more files than cores and stay as they are. Must be called on a scan without shuffles.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def numbered(df: DataFrame, order: list[str], name: str = "seq") -> tuple[DataFrame, int]:
     """``df`` with dense numbers from 0 in the given order, and the number of rows.
 
