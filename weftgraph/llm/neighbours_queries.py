@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm.neighbours import nearest
+from weftgraph.plans.lineage import spread
 from weftgraph.sources.tables import table
 
 
 def p4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 10 most similar vectors of each, as far as their cosine is at least 0.85."""
-    return nearest(table(spark, folder, "vectors_entities", "vec_id", "vectors"))
+    return nearest(spread(table(spark, folder, "vectors_entities", "vec_id", "vectors")))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weftgraph.llm.packing import packed
+from weftgraph.plans.lineage import spread
 from weftgraph.sources.tables import table
 
 
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
     """The container of every document, or of every piece of a document beyond the capacity."""
-    return packed(table(spark, folder, "documents", "doc_id", "text"))
+    return packed(spread(table(spark, folder, "documents", "doc_id", "text")))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
