@@ -37,4 +37,26 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found}
-ORACLES: dict[str, str] = {}
+#: Letters and signs of a column ``name``, for names that have a letter or digit.
+_CONCEPT = """
+  SELECT DISTINCT * EXCLUDE (name, plain, l), CASE WHEN plain LIKE '%s' AND l NOT LIKE '%ss' AND length(l) > 3 THEN left(l, length(l) - 1) ELSE l END AS letters,
+    regexp_replace(plain, '[^0-9+%#]', '', 'g') AS signs
+  FROM (
+    SELECT *, regexp_replace(plain, '[^a-z]', '', 'g') AS l
+    FROM (SELECT *, regexp_replace(strip_accents(lower(name)), '[^a-z0-9+%#]', '', 'g') AS plain FROM {table})
+  ) WHERE regexp_matches(plain, '[a-z0-9]') AND lower(trim(name)) <> 'n/a'"""
+
+ORACLES = {
+    "p5_found": f"""
+        WITH history AS (SELECT name FROM entities UNION ALL SELECT alias FROM alias_table),
+        records AS (SELECT record_id, min(batch_no) AS batch, first(name) AS name FROM entity_batches WHERE record_id IS NOT NULL GROUP BY record_id),
+        old AS ({_CONCEPT.format(table="history")}), own AS ({_CONCEPT.format(table="records")}),
+        accepted AS (
+          SELECT letters, signs, -1 AS batch, CAST(-1 AS BIGINT) AS record_id FROM old
+          UNION ALL SELECT letters, signs, batch, record_id FROM own
+        )
+        SELECT r.record_id FROM own AS r WHERE EXISTS (
+          SELECT 1 FROM accepted AS a WHERE a.signs = r.signs AND abs(length(a.letters) - length(r.letters)) <= 2
+            AND (a.batch < r.batch OR (a.batch = r.batch AND a.record_id < r.record_id)) AND levenshtein(a.letters, r.letters) <= 2
+        )""",
+}

@@ -24,4 +24,5 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found, "p4_neighbours": p4_neighbours}
+#: No SQL: the search is approximate; it is tested against brute force.
 ORACLES: dict[str, str] = {}
