@@ -8,6 +8,7 @@ from weftgraph.llm.leakage import leaked
 
 def test_words():
     assert words("Re-\n// joined **Çafé's** ﬁrst, cold-start") == ["rejoined", "cafes", "first", "coldstart"]
+    assert words("<em>A</em> [link](#bib.bib3) \\emph{x} a&nbsp;b T < 5 > 3") == ["a", "link", "x", "a", "b", "t", "5", "3"]
     assert words(None) == words("") == words("—!") == []
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
+from html import unescape
 
 _MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200d\u2060\ufeff]+")
 _HYPHENS = re.compile("[\u2010\u2011\u2019'-]")
 _BROKEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\n[\s>/#*|;%]*(?=[^\W\d_])")
+_TAG = re.compile(r"</?[A-Za-z][^<>\n]{0,200}>")
+_TARGET = re.compile(r"\]\([^()\s]{0,300}\)")
+_COMMAND = re.compile(r"\\[A-Za-z]+\*?(?=[{\[])")
 _PLAIN = re.compile("[a-z0-9]+")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -16,11 +20,20 @@ _WORD = re.compile(r"[^\W_]+")
 def words(text: str | None) -> list[str]:
     """Words in order, apart from layout, mark-up, case, accents and punctuation.
 
+    Tags, the targets of links, commands of LaTeX and character references are mark-up.
     Words broken at a line's end are joined, and so are the parts around hyphens and apostrophes, so that it doesn't matter
     which of the two a hyphen is.
     """
     if not text:
         return []
+    if "<" in text:
+        text = _TAG.sub("", text)
+    if "](" in text:
+        text = _TARGET.sub("]", text)
+    if "\\" in text:
+        text = _COMMAND.sub("", text)
+    if "&" in text:
+        text = unescape(text)
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
         text = _HYPHENS.sub("-", text)

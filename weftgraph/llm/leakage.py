@@ -29,6 +29,9 @@ BLOCK = 400_000
 #: Candidate pairs up to which their list is sent to all workers; more are joined by a shuffle.
 SENT = 200_000
 
+#: Share of the words of passages that must match; the others are changed words.
+DENSE = 0.84
+
 #: Words by which places of terms may be off within one passage.
 DRIFT = 64
 
@@ -150,8 +153,8 @@ def leaked(
     """(key, item, matched, spanned) of documents that reproduce ``share`` of an item's words in one or two passages.
 
     ``matched`` is the share of the item's words in the passages that are equal or misspelt, ``spanned`` the share from each
-    passage's first to last word, with changed ones. A case has ``spanned`` of at least ``share`` with 85 % of it matched, or
-    ``matched`` alone of at least ``share``. Layout, mark-up, case, accents and punctuation don't matter.
+    passage's first to last word, with changed ones. A case has ``spanned`` of at least ``share`` of which ``DENSE`` is
+    matched; sentences of the same shape with other words span much and match less. Layout, mark-up, case, accents and punctuation don't matter.
 
     Null keys and texts, and items of fewer than three words, are never cases. Repeated items and documents give each pair
     once. Texts of any length are read as a whole. Empty tables give no rows. Other columns are ignored.
@@ -184,7 +187,7 @@ def _verified(rows: DataFrame, key: str, item: str, found: dict[object, list[str
             kept, values = [], []
             for i, (name, doc) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 matched, spanned = reproduced(words(doc), found[name])
-                if max(matched, spanned if matched >= 0.85 * spanned else 0) >= share - 1e-9:
+                if spanned >= share - 1e-9 and matched >= DENSE * spanned:
                     kept.append(i)
                     values.append((matched, spanned))
             at = pa.array(kept, pa.int64())
