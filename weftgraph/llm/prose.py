@@ -33,6 +33,9 @@ RANKS = (3, 8, 16, 32, 1 << 30)
 #: Words below which, on average, units that each fill a line of their own are phrases of a list rather than sentences.
 PHRASE = 8.5
 
+#: Words from which a table's cell is a text of its own.
+CELL = 15
+
 #: Weights of the divergences over units, character classes and function words.
 WEIGHTS = (0.7, 0.15, 0.15)
 
@@ -53,6 +56,7 @@ _HEADING = re.compile(r"#{1,6}\s|(?:\*\*|__).{1,120}(?:\*\*|__)\s*$|={3,}|-{3,}|
 _QUOTE = re.compile(r"(?:>|//|\|(?=\s[^|]*$))+\s*")
 _CELLS = re.compile(r"\s*\|\s*|\t+| & |(?<=\S)\s{3,}(?=\S)| {2,}(?=[-\d.]+(?:\s|$))")
 _TIGHT = re.compile(r"[;,](?=\S)")
+_GAPS = re.compile(r"\s+")
 _LAST_NUMBER = re.compile(r"[,;]\s+[-+]?\d[\d.,%]*[.;]?$")
 _LEADERS = ("....", ". . . .", "……", "____")
 _SPLIT = re.compile(r"(?<=[.!?…])[\"'”’»)\]*_]*\s+(?=[\"'“‘«(\[¿¡*_]*[^\W_])")
@@ -168,6 +172,13 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
             kind = "scrap"
             units["heading"] += len(_WORD.findall(line))
             continue
+        if "  " in line and len(gaps := _GAPS.findall(line)) >= 8 and len(set(gaps)) == 1:
+            line = " ".join(line.split())
+        if "|" in line and (texts := [c.strip() for c in line.split("|") if len(c.split()) >= CELL]):
+            close_paragraph(kind)
+            kind = "scrap"
+            pending.extend(texts)
+            continue
         cells = 3 if last in "0123456789.;" and _LAST_NUMBER.search(line) else _cells(line)
         if cells >= 3 or (cells == 2 and len(line) < 120 and not _CLOSED.search(line[-6:])):
             close_paragraph(kind)
