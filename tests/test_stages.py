@@ -56,3 +56,20 @@ def test_measure(spark):
     found = stages.measure(nodes, calls, cache, counts)
     assert found["calls"].first()["per_paper"] == 3.0 and not found["gate"].first()["passed"]
     assert found["gleaning"].first()["extract_names"] == 1 and found["parameters"].first()["c"] == 2.0
+
+
+def test_names_of_a_key_meet_after_their_least_name_is_merged_or_decided(spark):
+    rows = [("Alpha-Net", "model", 1), ("alpha net", "model", 3), ("AlphaNet", "data", 1), ("B Net", "model", 1), ("BNet", "data", 1), ("b-net", "task", 1)]
+    nodes = spark.createDataFrame([(n, t, ["f"], ["c1"], [f"p{i}.md" for i in range(k)]) for n, t, k in rows], "name string, type string, fragments array<string>, source_ids array<string>, files array<string>")
+    empty = lambda schema: spark.createDataFrame([], schema)
+    alias_rows = spark.createDataFrame([(1, "B Net", "BNet", "different")], "seq bigint, alias string, canonical string, verdict string")
+    # of the first key only the name that code merges take away is in focus
+    seen = spark.createDataFrame([(n, 1) for n, _, _ in rows if n not in ("Alpha-Net", "b-net")], "name string, n_fragments int")
+    found = stages.resolve(
+        nodes, empty("src string, dst string, weight double, description string"), empty("name string, doc string"), alias_rows, seen,
+        empty("name string, neighbour string, sim double"), empty("chunk_id string, content string"), decisions.RuleProvider(),
+    )
+    asked = {frozenset(r["members"]) for r in found.answers.collect()}
+    assert asked == {frozenset({"AlphaNet", "alpha net"}), frozenset({"B Net", "BNet", "b-net"})}
+    pairs = {(r["a"], r["b"]) for r in found.pairs.collect()}
+    assert {("AlphaNet", "alpha net"), ("B Net", "b-net"), ("BNet", "b-net")} <= pairs and ("B Net", "BNet") not in pairs

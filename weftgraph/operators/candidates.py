@@ -24,12 +24,16 @@ def key_groups(nodes: DataFrame) -> DataFrame:
     return keyed.join(groups, "key").select("name", "key", "size", "focused")
 
 
-def key_pairs(nodes: DataFrame, every: bool = True) -> DataFrame:
+def key_pairs(nodes: DataFrame, every: bool = True, left: DataFrame | None = None) -> DataFrame:
     """(a, b) of names with the same key, of groups in focus; with ``every`` false only pairs with a group's least name.
 
-    The pairs of a group grow with the square of its size, the stars with its size; both connect the same names.
+    The pairs of a group grow with the square of its size, the stars with its size; both connect the same names as long as
+    no pair and no name is taken out. Of the names in ``left`` alone, if it is given, groups are in focus as they are in
+    ``nodes``: after code merges a group has one name of each type, so all its pairs are few.
     """
     groups = key_groups(nodes).where("focused")
+    if left is not None:
+        groups = groups.join(left.select("name"), "name", "left_semi")
     if every:
         other = groups.select(F.col("name").alias("b"), "key")
         return groups.select(F.col("name").alias("a"), "key").join(other, "key").where("a < b").select("a", "b")

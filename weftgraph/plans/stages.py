@@ -69,7 +69,8 @@ def resolve(
 
     Known aliases are replayed, candidates come from keys, neighbours (name, neighbour, sim) and acronyms and touch a name in
     focus, names of equal key and type are merged, a provider decides on clusters of the other candidates, and its groups
-    are merged. ``nodes``: name, type, fragments, source_ids, files; ``edges``: src, dst, weight, description;
+    are merged. Of the names of one key that code merges leave, all pairs are candidates, so neither a merged name nor a
+    decided pair cuts off the others. ``nodes``: name, type, fragments, source_ids, files; ``edges``: src, dst, weight, description;
     ``extracted``: name, doc; ``alias_rows``: seq, alias, canonical, verdict.
     """
     before = cut(nodes)
@@ -84,9 +85,12 @@ def resolve(
 
     focused = cut(focus(current, seen).withColumn("description", F.array_join("fragments", " ")))
     alive = neighbours.join(names, "name", "left_semi")
+    by_key = cut(merging.code_merges(current))
+    left = current.select("name").join(by_key.where("name <> canonical"), "name", "left_anti")
+    stars, survivors = candidates.key_pairs(focused, every=False), candidates.key_pairs(focused, left=left)
     pairs = candidates.candidates(
         {
-            "key": candidates.key_pairs(focused, every=False),
+            "key": stars.unionByName(survivors),
             "vector": candidates.accepted_neighbours(alive.join(focused.where("focus").select("name"), "name", "left_semi"), focused, settings.strong),
             "acronym": candidates.acronym_pairs(focused),
             "acronym-def": candidates.defined_acronyms(focused),
@@ -94,7 +98,6 @@ def resolve(
         aliases.decided_pairs(alias_rows),
     )
     pairs = cut(pairs)
-    by_key = cut(merging.code_merges(current))
     current, edges = _mapped(current, edges, by_key)
     left = current.select("name")
     open_pairs = pairs.join(left.withColumnRenamed("name", "a"), "a", "left_semi").join(left.withColumnRenamed("name", "b"), "b", "left_semi")
