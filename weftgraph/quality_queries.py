@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftgraph.functions import sql
 from weftgraph.functions.strings import filled
 from weftgraph.graph_queries import ALIAS_SQL, CHAIN_SQL, NODES_SQL, nodes
-from weftgraph.operators import aliases, candidates, decisions, export, graph, quality, vectors
+from weftgraph.operators import aliases, candidates, clusters, decisions, export, graph, quality, vectors
 from weftgraph.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -259,12 +259,20 @@ def calls_by_kind(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def cluster_decisions(spark: SparkSession, folder: str) -> DataFrame:
-    """What the rule provider answers for clusters of names that share a key; a stand-in for a model."""
+    """What the rule provider answers for clusters of names that share a key; a stand-in for a model.
+
+    A group of more than eight names is covered by clusters of at most eight, so that any two of its names are in one of them.
+    """
     found = nodes(spark, folder)
-    groups = candidates.key_groups(found.withColumn("focus", F.lit(True))).where("size <= 8")
+    focused = found.withColumn("focus", F.lit(True))
+    groups = candidates.key_groups(focused)
+    large = groups.where("size > 8").select("name", "key")
+    covered = clusters.ego_cover(candidates.key_pairs(focused, left=large).withColumn("weight", F.lit(1.0))).join(large, "name")
+    whole = groups.where("size <= 8").select(F.col("key").alias("cluster_id"), "name")
+    asking = whole.unionByName(covered.select(F.concat_ws("-", "key", "cluster_no").alias("cluster_id"), "name"))
     rows = found.select("name", F.coalesce("type", F.lit("other")).alias("type"), F.col("rows_n").alias("papers"), F.array(F.lit("")).alias("fragments"))
     empty = rows.select("name", F.array().cast("array<string>").alias("examples"))
-    asked = decisions.payloads(groups.select(F.col("key").alias("cluster_id"), "name"), rows, empty)
+    asked = decisions.payloads(asking, rows, empty)
     return decisions.decide(asked, asked, decisions.RuleProvider()).select("cluster_id", F.size("same").alias("groups"), "second_look")
 
 
