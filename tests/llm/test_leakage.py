@@ -54,3 +54,33 @@ def test_operator_finds_planted_cases_in_one_block_or_many(spark):
         assert len(got) == len(set(got)) and set(got) == expected
     assert leaked(df.limit(0), it).count() == 0
     assert leaked(df, it.limit(0)).count() == 0
+
+
+def test_a_part_is_paired_however_often_another_is_repeated():
+    item = [f"w{i}" for i in range(39)]
+    for copies in (1, 23, 24, 200):
+        doc = [w for k in range(copies) for w in [*item[:21], *[f"x{k}"] * 12]] + item[20:]
+        assert reproduced(doc, item) == (1.0, 1.0)
+
+
+def test_overlapping_passages_count_their_union():
+    item = [f"w{i}" for i in range(40)]
+    assert reproduced(item[:20] + ["x"] * 30 + item[14:34], item) == (34 / 40, 34 / 40)
+    assert reproduced(item[14:34] + ["x"] * 30 + item[:20], item) == (34 / 40, 34 / 40)
+    # a word that only one of the two has right is matched
+    one = [w if i != 16 else "zz" for i, w in enumerate(item)]
+    assert reproduced(one[:20] + ["x"] * 30 + item[14:34], item) == (34 / 40, 34 / 40)
+
+
+def test_matched_words_of_passages_are_those_of_their_bits_and_pairs_are_the_best_of_all():
+    random.seed(5)
+    for _ in range(150):
+        item = [random.choice("abcdefghijklmnop") + "word" for _ in range(24)]
+        doc = []
+        for a in random.choices(range(20), k=40):
+            doc += item[a : a + random.randint(2, 9)] + random.choices([*item, "zz"], k=random.randint(0, 9))
+        found = passages(doc, item)
+        assert all(bits.bit_count() == m and bits >> b << b == bits < 1 << e for b, e, m, _, _, bits in found)
+        pairs = [((p[5] | q[5]).bit_count(), len({*range(*p[:2]), *range(*q[:2])})) for p in found for q in found if p is q or p[4] <= q[3] or q[4] <= p[3]]
+        matched, spanned = max(pairs, default=(0, 0))
+        assert reproduced(doc, item) == (matched / 24, spanned / 24)

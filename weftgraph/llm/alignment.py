@@ -58,8 +58,9 @@ def close(a: str, b: str) -> bool:
     return row[-1] <= limit
 
 
-def passages(doc: list[str], item: list[str], reach: int = 8) -> list[tuple[int, int, int, int, int]]:
-    """Stretches of ``doc`` that follow ``item``: (first item word, past the last, matched words, first and last doc word).
+def passages(doc: list[str], item: list[str], reach: int = 8) -> list[tuple[int, int, int, int, int, int]]:
+    """Stretches of ``doc`` that follow ``item``: (first item word, past the last, matched words, first and last doc word,
+    matched item words as bits).
 
     A stretch is a chain of runs of at least two equal words in the item's order, with at most ``reach`` words between two
     runs on either side and about as many on both. Between runs, words in corresponding places match if they are equal or
@@ -110,27 +111,45 @@ def passages(doc: list[str], item: list[str], reach: int = 8) -> list[tuple[int,
             continue
         used.update(chain)
         first, last = runs[chain[-1]], runs[chain[0]]
-        found.append((first[1], last[1] + last[2], best[k][0], first[0], last[0] + last[2]))
+        bits = _bits(doc, item, [runs[p] for p in reversed(chain)])
+        found.append((first[1], last[1] + last[2], best[k][0], first[0], last[0] + last[2], bits))
     return found
 
 
+def _bits(doc: list[str], item: list[str], chain: list[tuple[int, int, int]]) -> int:
+    """The item words that a chain of runs matches, as bits."""
+    bits, pi, pj = 0, *chain[0][:2]
+    for i, j, n in chain:
+        cut = max(0, pi - i, pj - j)
+        if i + cut - pi == j + cut - pj:
+            for x in range(i + cut - pi):
+                bits |= close(doc[pi + x], item[pj + x]) << pj + x
+        bits |= ((1 << n - cut) - 1) << j + cut
+        pi, pj = i + n, j + n
+    return bits
+
+
 def reproduced(doc: list[str], item: list[str]) -> tuple[float, float]:
     """Share of the item's words that the best one or two passages of ``doc`` reproduce: matched words, and words spanned.
 
-    Two passages must follow each other in the item; in the document they may stand in either order.
+    Words that both passages have count once. In the document the two may stand in either order, but apart. Of passages that
+    match the same words only the first end and the last start are kept, as these tell whether another one stands apart.
+    Passages are paired by falling matched words until no pair can match more than the best.
     """
     if not item:
         return 0.0, 0.0
-    found = sorted(passages(doc, item), key=lambda p: -p[2])[:24]
-    best = max(((m, e - b) for b, e, m, _, _ in found), default=(0, 0))
-    for x, (b1, e1, m1, s1, t1) in enumerate(found):
-        for b2, e2, m2, s2, t2 in found[x + 1 :]:
-            if b1 > b2:
-                continue_first = (b2, e2, b1, e1)
-            else:
-                continue_first = (b1, e1, b2, e2)
-            over = max(0, continue_first[1] - continue_first[2])
-            if t1 > s2 and t2 > s1 or over > 4:
-                continue
-            best = max(best, (m1 + m2 - over, e1 - b1 + e2 - b2 - over))
+    places: dict[tuple[int, int, int, int], tuple[int, int]] = {}
+    for b, e, m, s, t, bits in passages(doc, item):
+        end, start = places.get((m, b, e, bits), (t, s))
+        places[m, b, e, bits] = min(end, t), max(start, s)
+    found = sorted(((*p, *at) for p, at in places.items()), reverse=True)
+    best = max(((m, e - b) for m, b, e, *_ in found), default=(0, 0))
+    for x, (m1, b1, e1, bits1, t1, s1) in enumerate(found):
+        if 2 * m1 < best[0]:
+            break
+        for m2, b2, e2, bits2, t2, s2 in found[x + 1 :]:
+            if m1 + m2 < best[0]:
+                break
+            if t1 <= s2 or t2 <= s1:
+                best = max(best, ((bits1 | bits2).bit_count(), e1 - b1 + e2 - b2 - max(0, min(e1, e2) - max(b1, b2))))
     return best[0] / len(item), best[1] / len(item)
