@@ -84,3 +84,12 @@ def test_matched_words_of_passages_are_those_of_their_bits_and_pairs_are_the_bes
         pairs = [((p[5] | q[5]).bit_count(), len({*range(*p[:2]), *range(*q[:2])})) for p in found for q in found if p is q or p[4] <= q[3] or q[4] <= p[3]]
         matched, spanned = max(pairs, default=(0, 0))
         assert reproduced(doc, item) == (matched / 24, spanned / 24)
+
+
+def test_a_dense_passage_stays_a_case_beside_loose_ones():
+    item = [f"{i}" * 3 for i in range(100, 180)]
+    loose = [w if i % 10 < 2 else f"x{i}" for i, w in enumerate(item)]
+    assert reproduced(item[:48] + ["x"] * 30 + loose[48:], item, 0.6, 0.84) == (48 / 80, 48 / 80)
+    # in one chain the loose words count as far as the rest bears them: words 0-51 with 50 matched, and 60-71 with 4
+    assert reproduced(item[:48] + loose[48:], item, 0.6, 0.84) == (54 / 80, 64 / 80)
+    assert reproduced(loose, item, 0.6, 0.84) == reproduced(item[:40], item, 0.6, 0.84) == (0, 0)

@@ -58,13 +58,13 @@ def close(a: str, b: str) -> bool:
     return row[-1] <= limit
 
 
-def passages(doc: list[str], item: list[str], reach: int = 8) -> list[tuple[int, int, int, int, int, int]]:
+def passages(doc: list[str], item: list[str], reach: int = 8, parts: bool = False) -> list[tuple[int, int, int, int, int, int]]:
     """Stretches of ``doc`` that follow ``item``: (first item word, past the last, matched words, first and last doc word,
     matched item words as bits).
 
     A stretch is a chain of runs of at least two equal words in the item's order, with at most ``reach`` words between two
     runs on either side and about as many on both. Between runs, words in corresponding places match if they are equal or
-    one is a misspelling of the other.
+    one is a misspelling of the other. With ``parts`` all successive runs of a chain are stretches too.
     """
     places: dict[tuple[str, str], list[int]] = {}
     for j in range(len(item) - 1):
@@ -111,8 +111,12 @@ def passages(doc: list[str], item: list[str], reach: int = 8) -> list[tuple[int,
             continue
         used.update(chain)
         first, last = runs[chain[-1]], runs[chain[0]]
-        bits = _bits(doc, item, [runs[p] for p in reversed(chain)])
-        found.append((first[1], last[1] + last[2], best[k][0], first[0], last[0] + last[2], bits))
+        ordered = [runs[p] for p in reversed(chain)]
+        found.append((first[1], last[1] + last[2], best[k][0], first[0], last[0] + last[2], _bits(doc, item, ordered)))
+        for x in range(len(ordered) if parts else 0):
+            for y in range(x + 1, len(ordered) + (x > 0)):
+                first, last, bits = ordered[x], ordered[y - 1], _bits(doc, item, ordered[x:y])
+                found.append((first[1], last[1] + last[2], bits.bit_count(), first[0], last[0] + last[2], bits))
     return found
 
 
@@ -129,27 +133,43 @@ def _bits(doc: list[str], item: list[str], chain: list[tuple[int, int, int]]) ->
     return bits
 
 
-def reproduced(doc: list[str], item: list[str]) -> tuple[float, float]:
+def reproduced(doc: list[str], item: list[str], share: float = 0.0, dense: float = 0.0) -> tuple[float, float]:
     """Share of the item's words that the best one or two passages of ``doc`` reproduce: matched words, and words spanned.
 
-    Words that both passages have count once. In the document the two may stand in either order, but apart. Of passages that
-    match the same words only the first end and the last start are kept, as these tell whether another one stands apart.
-    Passages are paired by falling matched words until no pair can match more than the best.
+    Only passages and pairs count that span ``share`` of the item, of whose words ``dense`` are matched; zeros if there are
+    none. If no whole passages do, their parts are tried. Words that both passages have count once. In the document the two
+    may stand in either order, but apart.
     """
     if not item:
         return 0.0, 0.0
+    best = _best(passages(doc, item), share * len(item) - 1e-9, dense)
+    if dense and best == (0, 0):
+        best = _best(passages(doc, item, parts=True), share * len(item) - 1e-9, dense)
+    return best[0] / len(item), best[1] / len(item)
+
+
+def _best(found: list[tuple[int, int, int, int, int, int]], least: float, dense: float) -> tuple[int, int]:
+    """Matched and spanned words of the best passage or pair that spans ``least`` words and is dense.
+
+    Of passages that match the same words only the first end and the last start are kept, as these tell whether another one
+    stands apart. Passages are paired by falling matched words until no pair can match more than the best, or enough.
+    """
     places: dict[tuple[int, int, int, int], tuple[int, int]] = {}
-    for b, e, m, s, t, bits in passages(doc, item):
+    for b, e, m, s, t, bits in found:
         end, start = places.get((m, b, e, bits), (t, s))
         places[m, b, e, bits] = min(end, t), max(start, s)
-    found = sorted(((*p, *at) for p, at in places.items()), reverse=True)
-    best = max(((m, e - b) for m, b, e, *_ in found), default=(0, 0))
-    for x, (m1, b1, e1, bits1, t1, s1) in enumerate(found):
-        if 2 * m1 < best[0]:
+    ordered = sorted(((*p, *at) for p, at in places.items()), reverse=True)
+    fits = lambda m, n: n >= least and m >= dense * n - 1e-9
+    best = max(((m, e - b) for m, b, e, *_ in ordered if fits(m, e - b)), default=(0, 0))
+    enough = dense * least - 1e-6
+    for x, (m1, b1, e1, bits1, t1, s1) in enumerate(ordered):
+        if 2 * m1 < max(best[0], enough):
             break
-        for m2, b2, e2, bits2, t2, s2 in found[x + 1 :]:
-            if m1 + m2 < best[0]:
+        for m2, b2, e2, bits2, t2, s2 in ordered[x + 1 :]:
+            if m1 + m2 < max(best[0], enough):
                 break
             if t1 <= s2 or t2 <= s1:
-                best = max(best, ((bits1 | bits2).bit_count(), e1 - b1 + e2 - b2 - max(0, min(e1, e2) - max(b1, b2))))
-    return best[0] / len(item), best[1] / len(item)
+                both = (bits1 | bits2).bit_count(), e1 - b1 + e2 - b2 - max(0, min(e1, e2) - max(b1, b2))
+                if both > best and fits(*both):
+                    best = both
+    return best

@@ -186,8 +186,8 @@ def _verified(rows: DataFrame, key: str, item: str, found: dict[object, list[str
         for batch in batches:
             kept, values = [], []
             for i, (name, doc) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                matched, spanned = reproduced(words(doc), found[name])
-                if spanned >= share - 1e-9 and matched >= DENSE * spanned:
+                matched, spanned = reproduced(words(doc), found[name], share, DENSE)
+                if spanned:
                     kept.append(i)
                     values.append((matched, spanned))
             at = pa.array(kept, pa.int64())
