@@ -47,3 +47,16 @@ def test_nulls_blanks_repeats_and_order_by_code_point(spark):
 
 def test_empty(spark):
     assert linked(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
+
+
+def test_forests_of_one_partition_are_united(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 8)
+    try:
+        for shared in "ab":  # one of them at least isn't the least by hash
+            chain = ["ab", "bc", "cd", "de", "ef", "ab", "bc", "cd", f"{shared}g", "gh"]
+            edges = spark.createDataFrame(spark.sparkContext.parallelize([tuple(e) for e in chain], 1), "a string, b string")
+            assert sorted(tuple(r) for r in linked(edges, "a", "b", bound=8).collect()) == [(n, "a") for n in "abcdefgh"]
+    finally:
+        spark.conf.set(key, before)

@@ -108,7 +108,8 @@ def linked(edges: DataFrame, a: str, b: str, bound: int = BOUND) -> DataFrame:
         moved = moved.select(F.col("a").alias("u"), F.coalesce("b", "v").alias("v")).where("u <> v").distinct()
         forest = cut(spanned(moved.repartition(parts, F.greatest("u", "v"))))
         size = forest.count()
-    last = forest if not maps and forest.rdd.getNumPartitions() == 1 else spanned(forest.coalesce(1), 2 * bound)
+    # one partition may have given out several forests too
+    last = spanned(forest.coalesce(1), 2 * bound)
     labels = cut(last.select("u", F.col("v").alias("root")))
     for least in reversed(maps):
         below = least.join(labels.select(F.col("u").alias("to"), "root"), "to", "left")
