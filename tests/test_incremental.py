@@ -4,12 +4,14 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftgraph.operators.incremental import Ledger, inside, islands, merged, subtracted
 from weftgraph.operators.intake import in_corpus, pending, replaced, with_status
 from weftgraph.plans.lineage import numbered
 from weftgraph.sources import corpus, stores
-from weftgraph.streaming.intake import MANIFEST, stream_intake
+from weftgraph.plans.versions import Conflict
+from weftgraph.streaming.intake import stream_intake, stream_manifest
 
 
 def _numbers(df):
@@ -59,7 +61,7 @@ def test_numbering(spark):
     assert numbered(df.limit(0), ["k"])[1] == 0
 
 
-def test_pending(spark):
+def test_pending(spark, tmp_path):
     t = lambda d: datetime(2048, 1, d)
     scan = spark.createDataFrame(
         [("new", "h", t(1)), ("done", " H1", t(2)), ("done", "old", t(1)), ("done", None, t(3)), ("changed", "x", t(1)), ("open", "h", t(1)), ("nohash", None, t(1)), (None, "h", t(1)), ("open", "h", t(1))],
@@ -69,9 +71,54 @@ def test_pending(spark):
         [("done", 1, "h1 ", "INDEXED", t(2), t(2)), ("done", 1, "zz", "failed", t(1), t(9)), ("changed", 1, "y", "indexed", t(1), t(1)), ("open", 1, "h", "cleaned", t(2), t(1)), ("open", 1, "h", "indexed", t(1), t(1)), ("gone", 1, "h", None, t(1), t(1))],
         "arxiv_id string, run_no int, content_hash string, status string, recorded_at timestamp, loaded_at timestamp",
     )
-    assert sorted(r[0] for r in pending(scan, manifest).collect()) == ["changed", "new", "open"]
-    assert pending(scan, manifest.limit(0)).count() == 4
-    assert pending(scan.limit(0), manifest).count() == 0
+    names = iter("abcdef")
+    ledger = lambda: Ledger(spark, str(tmp_path / next(names)))
+    found = lambda run, book: sorted(r[0] for r in book.output("arxiv_id string", [run]).collect())
+    book = ledger()
+    assert found(pending(scan, manifest, book), book) == ["changed", "new", "open"]
+    assert pending(scan, manifest, book) is None
+    more = scan.unionAll(spark.createDataFrame([("done", "old", t(4)), ("late", "h", t(1)), ("new", "H ", t(4))], scan.schema))
+    with pytest.raises(RuntimeError, match="boom"):
+        pending(more, manifest, book, lambda papers: (_ for _ in ()).throw(RuntimeError("boom")))
+    assert found(pending(more, manifest, book), book) == ["done", "late"]  # a hash that returns is a new state
+    assert pending(more, manifest, book) is None
+    assert found(pending(scan, manifest, book), book) == ["done"]
+    book = ledger()
+    assert found(pending(scan, manifest.limit(0), book), book) == ["changed", "done", "new", "open"]
+    assert pending(scan.limit(0), manifest, ledger()) is None
+    odd = scan.withColumn("known_hash", F.lit(1)).withColumn("seq", F.lit("x"))
+    book = ledger()
+    assert found(pending(odd, manifest.withColumn("seq", F.lit(0)), book), book) == ["changed", "new", "open"]
+
+
+def test_of_two_writers_one_commits(spark, tmp_path):
+    rows = spark.createDataFrame([(n,) for n in range(4)], "seq bigint")
+    one, two = (Ledger(spark, str(tmp_path / "ledger")) for _ in range(2))
+
+    def overtaken(new):
+        two.run(rows, lambda df: df)
+        return new
+
+    with pytest.raises(Conflict):
+        one.run(rows, overtaken)
+    assert one.runs() == [0] and sorted(r[0] for r in one.output("seq bigint").collect()) == [0, 1, 2, 3]
+    # the number is taken between the last look and the publication
+    one._runs.latest = lambda: -1
+    with pytest.raises(Conflict):
+        one.commit(islands(rows), rows)
+    assert two.runs() == [0] and two.output("seq bigint").count() == 4
+
+
+def test_a_snapshot_is_whole_at_any_time(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    df = lambda n: spark.createDataFrame([(n,)], "n bigint")
+    assert stores.snapshot_or_empty(spark, folder, "n bigint").count() == 0
+    for n in range(5):
+        assert stores.snapshot(df(n), folder) == n
+        assert [r[0] for r in stores.snapshot_or_empty(spark, folder, "n bigint").collect()] == [n]
+    with pytest.raises(Exception):  # a writer that dies leaves the old table
+        stores.snapshot(df(9).select(F.raise_error(F.lit("boom"))), folder)
+    assert [r[0] for r in stores.snapshot_or_empty(spark, folder, "n bigint").collect()] == [4]
 
 
 def test_intake_helpers(spark):
@@ -122,5 +169,11 @@ def test_stream(spark, tmp_path):
     add([("a", "1"), ("b", "2"), ("d", "1")])
     stream_intake(spark, source, folder, checkpoint, handle).awaitTermination()
     assert seen == [["a", "b"], ["b", "d"]]
-    rows = {r["arxiv_id"]: r for r in stores.snapshot_or_empty(spark, folder, MANIFEST).collect()}
-    assert set(rows) == {"a", "b", "d"} and rows["b"]["previous_hash"] and {r["status"] for r in rows.values()} == {"indexed"}
+    add([("e", "1")])
+    fail = lambda df, n: (_ for _ in ()).throw(RuntimeError("boom"))
+    with pytest.raises(Exception, match="boom"):
+        stream_intake(spark, source, folder, checkpoint, fail).awaitTermination()
+    stream_intake(spark, source, folder, checkpoint, handle).awaitTermination()
+    assert seen == [["a", "b"], ["b", "d"], ["e"]]
+    rows = {r["arxiv_id"]: r for r in stream_manifest(spark, folder).collect()}
+    assert set(rows) == {"a", "b", "d", "e"} and rows["b"]["previous_hash"] and {r["status"] for r in rows.values()} == {"indexed"}

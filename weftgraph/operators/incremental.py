@@ -2,7 +2,7 @@
 
 Processed sequence numbers are kept as disjoint half-open intervals ``[lo, hi)``. A run subtracts them from the available
 ranges, processes the gaps (late arrivals with smaller numbers are gaps like any other) and commits the merged intervals
-together with its output by one rename. A run that dies before the rename has committed nothing; its numbers stay gaps.
+together with its output by one atomic step. A run that dies before it has committed nothing; its numbers stay gaps.
 
 All interval arithmetic works in blocks of ``width`` numbers, so that no window holds more than a block.
 """
@@ -14,7 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftgraph.plans.lineage import cut
+from weftgraph.plans.lineage import cut, enumerated
+from weftgraph.plans.versions import Versions
 
 #: Sequence numbers of one block; a window function sees at most this many rows or twice as many interval ends.
 WIDTH = 1 << 20
@@ -119,52 +120,79 @@ def inside(rows: DataFrame, intervals: DataFrame, seq: str = "seq", width: int =
 
 
 class Ledger:
-    """Committed runs of one pipeline in a shared folder; each holds its intervals and its output.
+    """Committed runs of one pipeline in a shared folder, and the numbers of what they process.
 
-    ``folder/runs/<n>`` appears by one rename and contains ``intervals`` and ``output``; a folder that was not renamed is not
-    a run. Two runs that commit at once can't both take number n: the rename of the second fails and it must start again.
+    ``register`` gives each new state of a key a sequence number for good. ``run`` subtracts the processed intervals from the
+    registered ones, processes the gaps and commits the merged intervals together with the output by publishing one version.
+    A run that dies before that has committed nothing, and its numbers stay gaps. Of two runs that started from the same
+    version only one can publish the next; the other raises ``Conflict`` and none of its output is part of the ledger.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        self._files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._runs = Versions(spark, f"{self.folder}/runs")
+        self._numberings = Versions(spark, f"{self.folder}/numberings")
 
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
+    def _data(self) -> str:
+        return f"{self.folder}/data/{uuid.uuid4().hex}"
 
     def runs(self) -> list[int]:
         """Numbers of the committed runs, in order."""
-        if not self._files.exists(self._path("runs")):
-            return []
-        return sorted(int(s.getPath().getName()) for s in self._files.listStatus(self._path("runs")))
+        return self._runs.numbers()
 
     def processed(self) -> DataFrame:
-        """Merged intervals of all committed runs; no rows before the first."""
-        runs = [f"{self.folder}/runs/{n}/intervals" for n in self.runs()]
-        if not runs:
+        """Merged intervals of all committed runs, which the last one holds; no rows before the first."""
+        last = self._runs.latest()
+        if last < 0:
             return self.spark.createDataFrame([], INTERVALS)
-        return merged(self.spark.read.schema(INTERVALS).parquet(*runs))
+        return self.spark.read.schema(INTERVALS).parquet(f"{self._runs.read(last)}/intervals")
 
-    def output(self, schema) -> DataFrame:
-        """Output rows of all committed runs."""
-        runs = [f"{self.folder}/runs/{n}/output" for n in self.runs()]
-        return self.spark.read.schema(schema).parquet(*runs) if runs else self.spark.createDataFrame([], schema)
+    def output(self, schema, runs: list[int] | None = None) -> DataFrame:
+        """Output rows of the given runs, or of all."""
+        found = [f"{self._runs.read(n)}/output" for n in (self.runs() if runs is None else runs)]
+        return self.spark.read.schema(schema).parquet(*found) if found else self.spark.createDataFrame([], schema)
+
+    def registered(self, key: str, state: str, types: tuple[str, str] = ("string", "string")) -> DataFrame:
+        """(key, state, seq) of all numbers given so far."""
+        schema = f"{key} {types[0]}, {state} {types[1]}, seq bigint"
+        folders = [self._numberings.read(n).split("\n")[0] for n in self._numberings.numbers()]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def register(self, states: DataFrame, key: str, state: str) -> DataFrame:
+        """(key, state, seq) for the present state of each key; ``states`` holds each key once, without nulls.
+
+        A key whose state isn't the last one registered for it gets a new number, one that returns to an older state too.
+        """
+        types = tuple(states.schema[c].dataType.simpleString() for c in (key, state))
+        last = self._numberings.latest()
+        first = int(self._numberings.read(last).split("\n")[1]) if last >= 0 else 0
+        known = self.registered(key, state, types).groupBy(key).agg(F.max(F.struct("seq", state)).alias("known"))
+        joined = states.select(key, state).join(known, key, "left")
+        fresh, total = enumerated(joined.where(~F.col(f"known.{state}").eqNullSafe(F.col(state))).select(key, state), start=first)
+        if total:
+            folder = self._data()
+            fresh.write.parquet(folder)
+            self._numberings.publish(last + 1, f"{folder}\n{first + total}")
+        if last < 0:
+            return fresh
+        now = self.registered(key, state, types).groupBy(key).agg(F.max(F.struct("seq", state)).alias("now"))
+        return states.select(key).join(now, key).select(key, F.col(f"now.{state}").alias(state), "now.seq")
 
     def gaps(self, available: DataFrame) -> DataFrame:
         """What no committed run has processed of the intervals in ``available``."""
         return subtracted(available, self.processed())
 
-    def commit(self, intervals: DataFrame, output: DataFrame) -> int:
-        """Publish ``output`` and ``intervals`` together; returns the run's number. Raises if another run took it."""
-        number = (self.runs() or [-1])[-1] + 1
-        draft = f"draft-{uuid.uuid4().hex}"
-        output.write.parquet(f"{self.folder}/{draft}/output")
-        intervals.select("lo", "hi").write.parquet(f"{self.folder}/{draft}/intervals")
-        self._files.mkdirs(self._path("runs"))
-        target = self._path("runs", str(number))
-        if self._files.exists(target) or not self._files.rename(self._path(draft), target):
-            raise RuntimeError(f"run {number} was committed by another writer; nothing of this run is published")
+    def commit(self, intervals: DataFrame, output: DataFrame, after: int | None = None) -> int:
+        """Publish ``output`` and the processed intervals with ``intervals`` added; returns the run's number.
+
+        ``after`` is the last run that was known when the work began; raises ``Conflict`` if there is a later one by now.
+        """
+        number = (self._runs.latest() if after is None else after) + 1
+        folder = self._data()
+        both = intervals.select("lo", "hi").unionByName(self.processed())
+        merged(both).write.parquet(f"{folder}/intervals")
+        output.write.parquet(f"{folder}/output")
+        self._runs.publish(number, folder)
         return number
 
     def run(self, rows: DataFrame, process, seq: str = "seq") -> int | None:
@@ -172,8 +200,8 @@ class Ledger:
 
         ``process`` maps the new rows to output rows. Rows with a null number can't be tracked and are left out.
         """
-        found = cut(islands(rows, seq))
-        gaps = cut(self.gaps(found))
+        after = self._runs.latest()
+        gaps = cut(self.gaps(islands(rows, seq)))
         if gaps.isEmpty():
             return None
-        return self.commit(gaps, process(inside(rows, gaps, seq)))
+        return self.commit(gaps, process(inside(rows, gaps, seq)), after)

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.strings import filled
-from weftgraph.operators.incremental import inside, islands, subtracted
-from weftgraph.plans.lineage import numbered
+from weftgraph.operators.incremental import Ledger, islands
 
 
 def _plain(column: str) -> Column:
@@ -45,21 +44,24 @@ def latest_state(manifest: DataFrame) -> DataFrame:
     )
 
 
-def pending(scan: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Papers of the scan that are new, changed or not finished, each once: arxiv_id.
+def pending(scan: DataFrame, manifest: DataFrame, ledger: Ledger, process=lambda papers: papers.select("arxiv_id")) -> int | None:
+    """Process the papers of the scan that are new, changed or not finished, each once; the number of the committed run.
+
+    Each paper's present hash is registered with the ledger and has a sequence number. Before the first run, the numbers of
+    papers whose latest manifest row is ``indexed`` with that hash are committed as processed. The run then subtracts the
+    processed intervals from the numbers of the scan and hands the papers in the gaps (arxiv_id, content_hash, seq) to
+    ``process``; what that returns is committed with the intervals. None where nothing is pending.
 
-    The scanned papers are numbered in the order of their ids. The numbers of papers whose latest state is ``indexed`` with
-    the scanned hash are the processed intervals; the rest of the range are gaps, and the papers in gaps are the result.
     Case and outer blanks of hash and status don't matter. Papers without an id or without any hash are no papers of the
     scan; a null hash or status in the manifest never counts as finished. Ties in scanned_at: the greater hash. Repeated
-    rows change nothing; an empty scan gives no rows, an empty manifest all papers.
+    rows change nothing; an empty scan leaves nothing to do, an empty manifest all papers. Other columns are ignored.
     """
-    state = latest_scan(scan).join(latest_state(manifest), "arxiv_id", "left")
-    done = F.coalesce((F.col("content_hash") == F.col("known_hash")) & (F.col("status") == "indexed"), F.lit(False))
-    papers, total = numbered(state.select("arxiv_id", done.alias("done")), ["arxiv_id"])
-    everything = scan.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("lo"), F.lit(total).cast("bigint").alias("hi"))
-    gaps = subtracted(everything, islands(papers.where("done")))
-    return inside(papers, gaps).select("arxiv_id")
+    papers = ledger.register(latest_scan(scan), "arxiv_id", "content_hash")
+    if not ledger.runs():
+        done = (F.col("content_hash") == F.col("known_hash")) & (F.col("status") == "indexed")
+        finished = papers.join(latest_state(manifest), "arxiv_id").where(done)
+        ledger.commit(islands(finished), papers.sparkSession.createDataFrame([], "arxiv_id string"), -1)
+    return ledger.run(papers, process)
 
 
 def content_hash(text: Column) -> Column:

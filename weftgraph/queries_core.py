@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from weftgraph.operators.incremental import Ledger
 from weftgraph.operators.intake import pending
+from weftgraph.plans.lineage import shared_folder
 from weftgraph.sources.tables import table
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Papers to process now."""
-    return pending(
-        table(spark, folder, "corpus_scan"),
-        table(spark, folder, "manifest", "arxiv_id", "run_no", "content_hash", "status", "recorded_at", "loaded_at"),
-    )
+    """Papers to process now: the output of a run of a ledger that knows what the manifest shows as finished."""
+    ledger = Ledger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    manifest = table(spark, folder, "manifest", "arxiv_id", "run_no", "content_hash", "status", "recorded_at", "loaded_at")
+    number = pending(table(spark, folder, "corpus_scan", "arxiv_id", "content_hash", "scanned_at"), manifest, ledger)
+    return ledger.output("arxiv_id string", [] if number is None else [number])
 
 
 QUERIES = {"p6_found": p6_found}

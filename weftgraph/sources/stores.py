@@ -4,34 +4,36 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.plans.versions import Versions
+
 #: Columns of the alias table's CSV.
 ALIASES = "alias string, canonical string, verdict string, date string, cluster_id string, method string, reason string"
 
 
-def snapshot(df: DataFrame, folder: str) -> None:
-    """Replace the table in ``folder`` atomically: written beside it, then renamed; readers see the old or the new one."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    draft, old = f"{folder}.{uuid.uuid4().hex}", f"{folder}.{uuid.uuid4().hex}.old"
-    df.write.parquet(draft)
-    if files.exists(path(folder)):
-        files.rename(path(folder), path(old))
-    if not files.rename(path(draft), path(folder)):
-        raise OSError(f"{folder} can't be replaced")
-    files.delete(path(old), True)
+def snapshot(df: DataFrame, folder: str, keep: int = 3) -> int:
+    """Replace the table in ``folder`` by one atomic step; returns the number of the new version.
+
+    Each version is a folder of its own, and readers take the last one that is published, so there is a whole table at any
+    time, also after a crash. A writer that another one has overtaken raises ``Conflict``. The data of the last ``keep``
+    versions stay, for those who still read them.
+    """
+    versions = Versions(df.sparkSession, f"{folder}/versions")
+    number, data = versions.latest() + 1, f"{folder}/data/{uuid.uuid4().hex}"
+    df.write.parquet(data)
+    versions.publish(number, data)
+    if number >= keep:
+        versions.remove(versions.read(number - keep))
+    return number
 
 
 def snapshot_or_empty(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """The table in ``folder``, or an empty one before the first run."""
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """The table in ``folder``, or an empty one before the first version; a version that can't be read raises."""
+    versions = Versions(spark, f"{folder}/versions")
+    last = versions.latest()
+    return spark.createDataFrame([], schema) if last < 0 else spark.read.schema(schema).parquet(versions.read(last))
 
 
 def alias_csv(spark: SparkSession, path: str) -> DataFrame:

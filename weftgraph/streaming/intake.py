@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weftgraph.sources.stores import snapshot, snapshot_or_empty
+from weftgraph.operators.incremental import Ledger
+from weftgraph.plans.lineage import cut
 
 MANIFEST = "arxiv_id string, content_hash string, previous_hash string, status string, batch_id bigint"
 
@@ -25,28 +26,33 @@ def changes(papers: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def merged_manifest(manifest: DataFrame, rows: DataFrame) -> DataFrame:
-    """The manifest with rows replaced or added by arxiv_id."""
-    return manifest.join(rows.select("arxiv_id"), "arxiv_id", "left_anti").unionByName(rows, allowMissingColumns=True)
+def stream_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest that the stream keeps in ``folder``: each paper's row of its latest batch."""
+    rows = Ledger(spark, folder).output(MANIFEST)
+    last = rows.groupBy("arxiv_id").agg(F.max_by(F.struct(*rows.columns), "batch_id").alias("last"))
+    return last.select("last.*")
 
 
 def stream_intake(spark: SparkSession, source: str, folder: str, checkpoint: str, handle=None) -> StreamingQuery:
-    """Start the stream over Parquet files of (arxiv_id, text) in ``source``; the manifest is kept in ``folder``.
+    """Start the stream over Parquet files of (arxiv_id, text) in ``source``; its ledger is kept in ``folder``.
 
-    ``handle`` gets each batch's changed papers with their texts before they are committed as indexed. A batch that is
-    replayed after a failure finds its number in the manifest and is not handled twice.
+    A batch commits the rows of its changed papers, not the whole manifest, together with its number. ``handle`` gets these
+    papers with their texts, and the number, before they are committed as indexed. A batch that is replayed after it was
+    committed isn't handled again; one that failed before is handled a second time under the same number, so what ``handle``
+    writes must be keyed by that number.
     """
     stream = spark.readStream.schema("arxiv_id string, text string").parquet(source)
 
     def commit(batch: DataFrame, number: int) -> None:
-        manifest = snapshot_or_empty(spark, folder, MANIFEST)
-        if not manifest.where(F.col("batch_id") == number).isEmpty():
+        ledger = Ledger(spark, folder)
+        after, own = (ledger.runs() or [-1])[-1], spark.createDataFrame([(number, number + 1)], "lo bigint, hi bigint")
+        if ledger.gaps(own).isEmpty():
             return
-        rows = changes(batch, manifest)
+        rows = cut(changes(batch, stream_manifest(spark, folder)))
         if handle is not None:
             handle(batch.join(rows.select("arxiv_id"), "arxiv_id", "left_semi"), number)
         done = rows.withColumn("status", F.lit("indexed")).withColumn("batch_id", F.lit(number).cast("bigint"))
-        snapshot(merged_manifest(manifest, done), folder)
+        ledger.commit(own, done, after)
 
     return (
         stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
