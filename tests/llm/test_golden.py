@@ -56,6 +56,30 @@ def test_dependencies_equal_brute_force(spark):
         assert r["degree"] + max(x[5] for x in own if x[4] == r["type"]) == best
 
 
+def test_chains_and_circles_of_dependencies_equal_brute_force(spark):
+    random.seed(9)
+    schema = "key string, row bigint, a string, b string, c string, x bigint, y bigint, z bigint"
+    data = []
+    for group in range(30):
+        for _ in range(random.randint(1, 6)):
+            data.append((f"k{group}", len(data), *(random.choice(["p", "q", None]) for _ in range(3)), *(random.randint(0, 9) for _ in range(3))))
+    members = spark.createDataFrame([(g, f"k{g}") for g in range(30)], "grp bigint, key string")
+    tie = (-F.col("row"),)
+    bundles = [Bundle(n, (n,), F.col(t), tie) for n, t in zip("cab", "zxy")]  # the first two are linked through the third
+    for pairs in ([("a", "b"), ("b", "c")], [("a", "b"), ("b", "c"), ("c", "a")]):
+        found = best_bundles(members, spark.createDataFrame(data, schema), "key", "grp", bundles, [Dependency(*p) for p in pairs])
+        results = {r["grp"]: r for r in found.collect()}
+        assert len(results) == 30
+        for group in range(30):
+            own = [dict(zip(("key", "row", "a", "b", "c", "x", "y", "z"), r)) for r in data if r[0] == f"k{group}"]
+            fits = lambda v: all(any(r[p] == v[p] and r[q] == v[q] for r in own) for p, q in pairs)
+            choices = [
+                (x["x"] + y["y"] + z["z"], v) for x in own for y in own for z in own if fits(v := {"a": x["a"], "b": y["b"], "c": z["c"]})
+            ]
+            best, got = max(s for s, _ in choices), {n: results[group][n] for n in "abc"}
+            assert got in [v for s, v in choices if s == best]
+
+
 def test_empty_tables(spark):
     members = spark.createDataFrame([], "grp bigint, key string")
     rows = spark.createDataFrame([], ROWS)

@@ -116,6 +116,31 @@ ORACLES = {
           first(entity_row ORDER BY degree DESC, updated_at DESC NULLS LAST, entity_row) AS name_row,
           first(entity_row ORDER BY fragments DESC, updated_at DESC NULLS LAST, entity_row) AS description_row
         FROM bearing GROUP BY merge_id HAVING count(*) >= 2""",
+    "p1_golden": r"""
+        WITH logged AS (
+          SELECT merge_id, unnest(list_concat([canonical], coalesce(aliases, []))) AS name FROM merges
+        ), names AS (
+          SELECT DISTINCT merge_id, trim(name) AS name FROM logged
+          WHERE trim(name) <> '' AND merge_id IN (SELECT merge_id FROM merges WHERE trim(canonical) <> '')
+        ), rated AS (
+          SELECT entity_row, trim(name) AS name, nullif(lower(trim(entity_type)), '') AS entity_type, description, updated_at,
+            CASE WHEN degree >= 0 THEN degree END AS degree, coalesce(CASE WHEN degree >= 0 THEN degree END, -1) AS trust,
+            len(list_distinct(list_filter(list_transform(string_split(coalesce(description, ''), '<SEP>'), lambda x: lower(trim(x))),
+              lambda x: len(regexp_split_to_array(x, '\s+')) >= 4))) AS fragments
+          FROM entities
+        ), bearing AS (SELECT merge_id, r.* FROM names JOIN rated AS r USING (name)
+        ), attested AS (SELECT DISTINCT merge_id, name, entity_type FROM bearing
+        ), ranked AS (
+          SELECT a.merge_id, a.name AS best_name, a.degree, b.entity_type, row_number() OVER (PARTITION BY a.merge_id ORDER BY
+            a.trust + b.fragments DESC, a.trust DESC, a.updated_at DESC NULLS LAST, a.entity_row,
+            b.fragments DESC, b.updated_at DESC NULLS LAST, b.entity_row) AS place
+          FROM bearing AS a JOIN bearing AS b ON b.merge_id = a.merge_id
+          JOIN attested AS t ON t.merge_id = a.merge_id AND t.name = a.name AND t.entity_type IS NOT DISTINCT FROM b.entity_type
+        ), texts AS (
+          SELECT merge_id, count(*) AS n_rows, first(description ORDER BY fragments DESC, updated_at DESC NULLS LAST, entity_row) AS description
+          FROM bearing GROUP BY merge_id
+        )
+        SELECT merge_id, n_rows, best_name, degree, entity_type, description FROM ranked JOIN texts USING (merge_id) WHERE place = 1""",
     "p2_found": """
         WITH RECURSIVE edges AS (
           SELECT trim(alias) AS a, trim(canonical) AS b FROM alias_table
