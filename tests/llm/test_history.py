@@ -5,8 +5,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from weftgraph.llm.history import NameIndex, concept
-from weftgraph.plans.lineage import shared_folder
+from weftgraph.llm.history import MERGED, NameIndex, _with_tokens, concept
+from weftgraph.plans.lineage import cut, shared_folder
 
 
 def test_concepts():
@@ -50,6 +50,10 @@ def _expected(keys, accepted):
     return out
 
 
+def _index(spark, **options):
+    return NameIndex(spark, f"{shared_folder(spark)}/{uuid.uuid4().hex}", **options)
+
+
 def test_one_index_and_batch_by_batch_agree_with_all_pairs(spark):
     names, batches = _data()
     history = spark.createDataFrame([(n, 1) for n in [*names, None, ""]], "name string, letters int")
@@ -60,22 +64,51 @@ def test_one_index_and_batch_by_batch_agree_with_all_pairs(spark):
     for record, batch, n in sorted(batches, key=lambda b: (b[1], b[0])):
         if concept(n):
             accepted.setdefault(concept(n), (batch, record))
-    whole = NameIndex(spark, f"{shared_folder(spark)}/{uuid.uuid4().hex}")
-    whole.append(whole.keys(history, "name", F.lit(-1), F.lit(-1)), first=True)
-    keys = whole.keys(records, "name", F.col("batch"), F.col("record"))
-    whole.append(keys)
-    at_once = {(r[0], r[1]): (r[2], r[3]) for r in whole.earliest(keys).collect()}
+    whole = _index(spark)
+    whole.load(whole.keys(history, "name", F.lit(-1), F.lit(-1)))
+    at_once = {(r[0], r[1]): (r[2], r[3]) for r in whole.check(whole.keys(records, "name", F.col("batch"), F.col("record"))).collect()}
     assert at_once == _expected({concept(b[2]) for b in batches} - {None}, accepted)
-    grown = NameIndex(spark, f"{shared_folder(spark)}/{uuid.uuid4().hex}")
-    grown.append(grown.keys(history, "name", F.lit(-1), F.lit(-1)), first=True)
+    grown = _index(spark, bucket=100)
+    grown.load(grown.keys(history, "name", F.lit(-1), F.lit(-1)))
+    assert grown.segments()[0][1] > 1
     for number in range(2):
-        part = grown.keys(records.where(F.col("batch") == number), "name", F.col("batch"), F.col("record"))
-        grown.append(part)
-        for r in grown.earliest(part).collect():
+        part = cut(grown.keys(records.where(F.col("batch") == number), "name", F.col("batch"), F.col("record")))
+        found = grown.check(part).collect()
+        assert len(found) == part.count()
+        for r in found:
             best = min(o for other, o in accepted.items() if other[1] == r[1] and _distance(other[0], r[0]) <= 2)
             assert (r[2], r[3]) == best
-    before = grown.postings().count()
-    grown.append(part)
-    grown.append(part.limit(0))
-    assert grown.postings().count() == before
-    assert grown.earliest(part.limit(0)).count() == 0
+    before = grown.segments()
+    grown.check(part)
+    assert grown.check(part.limit(0)).count() == 0
+    grown.load(part)
+    assert grown.segments() == before
+
+
+def test_a_batch_reads_its_buckets_only(spark):
+    """A batch's plan filters the partitions of every segment, and what it reads doesn't grow with the history."""
+    random.seed(2)
+    batch = spark.createDataFrame([("graph transformer networks",)], "name string")
+    sizes = []
+    for n in (300, 2400):
+        names = ["".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20)) for _ in range(n)]
+        index = _index(spark, bucket=30)
+        index.load(index.keys(spark.createDataFrame([(x,) for x in names], "name string"), "name", F.lit(-1), F.lit(-1)))
+        probes = _with_tokens(index.keys(batch, "name", F.lit(0), F.lit(0)).select("letters", "signs"), [], True)
+        read = index.postings(probes)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [bucket" in plan
+        share = read.count() / (n * 3)
+        assert share < 0.9
+        sizes.append(read.count())
+        assert index.segments()[0][1] >= n * 3 / 60
+    assert sizes[1] < 3 * sizes[0]
+
+
+def test_segments_of_similar_size_are_merged(spark):
+    index = _index(spark)
+    for number in range(MERGED):
+        name = spark.createDataFrame([(chr(97 + number) * 12,)], "name string")
+        index.load(index.keys(name, "name", F.lit(number), F.lit(number)))
+    assert [n for _, _, n in index.segments()] == [3 * MERGED]
+    assert {r["batch"] for r in index.postings().collect()} == set(range(MERGED))

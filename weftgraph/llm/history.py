@@ -5,34 +5,41 @@ ten letters or more is cut into five stretches; two differences spoil at most tw
 accepted name at least one stands in every name that denotes the same concept, moved by two places at most. The index keeps
 the three rarest stretches of each name as its prefix; a batch looks up all places where such a stretch could stand in its
 names, for lengths that differ by two at most. Shorter names are looked up by what is left after deleting up to two letters.
-What is looked up and found is then verified. The index lives in a shared folder and grows by appended postings,
-partitioned by token, so a batch reads postings, not the history's names.
+What is looked up and found is then verified. The index lives in a shared folder and grows by appended segments of postings,
+each in as many buckets of the token as its size asks for. A batch reads the buckets that its tokens are in and nothing else
+of the history: what it finds also tells which of its names are in the index, and how long the lists of their stretches are.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, takewhile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.plans.lineage import cut
+from weftgraph.plans.versions import Versions
 
 #: Most letters that may differ, stretches of a long name, postings of a long name, most letters of a short name.
 EDITS, STRETCHES, KEPT, SHORT = 2, 5, 3, 9
 
-#: Occurrences from which a stretch's number is kept; rarer ones count as equally rare.
+#: Postings from which a stretch's list counts as long; shorter ones count as equally rare.
 FREQUENT = 16
 
-#: Parts by token that the postings of the index are written in.
-BUCKETS = 32
+#: Postings for each bucket that the number of a segment's buckets aims at, and the most buckets of a segment.
+BUCKET, BUCKETS = 100_000, 4096
+
+#: Segments of similar size (up to so many times the last one) that are merged when there are so many of them.
+MERGED = 8
 
 _NOT_LETTERS, _NOT_SIGNS = re.compile("[^a-z]+"), re.compile("[^0-9+%#]+")
 
@@ -174,30 +181,41 @@ def _with_tokens(df: DataFrame, kept: list[str], probing: bool) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+_KEY = ["letters", "signs", "batch", "record"]
+_POSTINGS = "token bigint, letters string, signs string, batch bigint, record bigint, bucket int"
+
+
 class NameIndex:
     """An index of accepted names in a shared folder.
 
-    ``append`` adds names with an order (two numbers), ``earliest`` tells for names the least order of an accepted name that
-    denotes the same concept. Names that are null or empty, have no letter or digit, or are ``n/a`` are in neither. A name
-    whose concept is spelt the same as one in the index adds no postings. An empty batch appends nothing.
+    ``check`` tells for each name of a batch the least order (two numbers) of a name in the index or in the batch that
+    denotes the same concept, and adds the batch. Names that are null or empty, have no letter or digit, or are ``n/a`` are
+    in neither. A name whose concept is spelt the same as one in the index adds no postings. An empty batch adds nothing.
+    A batch becomes part of the index by one atomic step, after which it must not be checked again.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
-        self.appended = 0
-
-    def _read(self, part: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.folder}/{part}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-
-    def postings(self) -> DataFrame:
-        """token, letters, signs and order of every posting; its folder is partitioned by bucket of the token."""
-        return self._read("postings", "token bigint, letters string, signs string, batch bigint, record bigint, bucket int")
-
-    def _frequent(self) -> DataFrame:
-        return self._read("frequent", "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    def __init__(self, spark: SparkSession, folder: str, bucket: int = BUCKET) -> None:
+        self.spark, self.folder, self.bucket = spark, folder.rstrip("/"), bucket
+        self._versions = Versions(spark, f"{self.folder}/versions")
+
+    def segments(self) -> list[tuple[str, int, int]]:
+        """Folder, number of buckets and number of postings of each segment, the oldest first."""
+        last = self._versions.latest()
+        return [tuple(x) for x in json.loads(self._versions.read(last))] if last >= 0 else []
+
+    def postings(self, tokens: DataFrame | None = None) -> DataFrame:
+        """Postings of all segments; with ``tokens`` those of the buckets only that these are in."""
+        segments, wanted = self.segments(), set()
+        most = max((b for _, b, _ in segments), default=1)
+        if tokens is not None and most > 1:  # at most BUCKETS numbers; numbers of buckets are powers of two
+            wanted = set(tokens.agg(F.collect_set(F.pmod("token", F.lit(most)).cast("int"))).first()[0])
+        found = self.spark.createDataFrame([], _POSTINGS)
+        for folder, buckets, _ in segments:
+            part = self.spark.read.schema(_POSTINGS).parquet(folder)
+            if tokens is not None and buckets > 1:
+                part = part.where(F.col("bucket").isin(sorted({w % buckets for w in wanted})))
+            found = found.unionByName(part)
+        return found.drop("bucket")
 
     def keys(self, names: DataFrame, name: str, batch: Column, record: Column) -> DataFrame:
         """(letters, signs, batch, record): the different concepts of names and the least order of each."""
@@ -205,44 +223,68 @@ class NameIndex:
         rows = with_concepts(rows.groupBy("name").agg(F.min(F.struct("batch", "record")).alias("o")), "name", ["o"])
         return rows.groupBy("letters", "signs").agg(F.min("o").alias("o")).select("letters", "signs", "o.*")
 
-    def append(self, keys: DataFrame, first: bool = False) -> None:
-        """Add postings for the concepts of ``keys`` (letters, signs, batch, record) that aren't in the index yet.
+    def check(self, keys: DataFrame) -> DataFrame:
+        """(letters, signs, batch, record): the least order of the same concept as each of ``keys``, its own if there is none.
 
-        ``first`` says that the index is empty, which spares looking.
-        """
-        if not first:
-            known = self._read("keys", "letters string, signs string")
-            keys = keys.join(known, ["letters", "signs"], "left_anti")
-        fresh = cut(keys)
-        long = F.char_length("letters") > SHORT
-        stretches = _with_tokens(fresh.where(long), ["letters", "signs", "batch", "record"], False)
-        counts = stretches.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
-        counts = cut(counts)
-        frequent = counts if first else self._frequent().unionByName(counts).groupBy("token").agg(F.sum("n").alias("n"))
-        rated = stretches.join(frequent, "token", "left").groupBy("letters", "signs", "batch", "record").agg(
-            F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ts")
-        )  # five at most
-        prefix = rated.select("letters", "signs", "batch", "record", F.explode(F.slice("ts", 1, KEPT)).alias("t"))
-        prefix = prefix.select(F.col("t.token").alias("token"), "letters", "signs", "batch", "record")
-        short = _with_tokens(fresh.where(~long), ["letters", "signs", "batch", "record"], False).select(prefix.columns)
-        both = prefix.unionByName(short).withColumn("bucket", F.pmod("token", F.lit(BUCKETS)).cast("int"))
-        both.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.folder}/postings")
-        fresh.select("letters", "signs").write.mode("append").parquet(f"{self.folder}/keys")
-        counts.write.mode("append").parquet(f"{self.folder}/frequent")
-
-    def earliest(self, keys: DataFrame) -> DataFrame:
-        """(letters, signs, batch, record): for each of the different (letters, signs) the least order of the same concept.
-
-        Concepts that nothing in the index equals are left out.
+        ``keys`` (letters, signs, batch, record) holds each concept once. Those that the index doesn't have are added to it.
         """
-        own = cut(keys.select("letters", "signs")).withColumn("kid", F.monotonically_increasing_id())
+        # a hash that two names share costs a verification
+        own = keys.select(*_KEY).withColumn("kid", F.xxhash64("letters", "signs"))
         probes = _with_tokens(own, ["kid"], True)
-        found = probes.join(self.postings().drop("bucket"), "token").select(
-            "kid", F.col("letters").alias("l"), F.col("signs").alias("s"), "batch", "record"
+        if any(buckets > 1 for _, buckets, _ in self.segments()):
+            probes = cut(probes)
+        old = self.postings(probes)
+        new = cut(self._prefixes(own, old))
+        both = old.withColumn("old", F.lit(True)).unionByName(new.withColumn("old", F.lit(False)))
+        found = probes.join(both.withColumnsRenamed({"letters": "l", "signs": "s"}), "token").drop("token")
+        pairs = own.select("kid", "letters", "signs").join(found, "kid").where(
+            (F.col("signs") == F.col("s"))
+            & (F.abs(F.char_length("letters") - F.char_length("l")) <= EDITS)
+            & (F.levenshtein("letters", "l", EDITS) >= 0)
         )
-        pairs = own.join(found, "kid").where(
-            (F.col("signs") == F.col("s")) & (F.abs(F.char_length("letters") - F.char_length("l")) <= EDITS)
-        )
-        same = F.levenshtein("letters", "l", EDITS) >= 0
-        best = pairs.where(same).groupBy("letters", "signs").agg(F.min(F.struct("batch", "record")).alias("o"))
+        known = F.max((F.col("letters") == F.col("l")) & F.col("old")).alias("known")
+        best = cut(pairs.groupBy("letters", "signs").agg(F.min(F.struct("batch", "record")).alias("o"), known))
+        fresh = new.join(best.where("known").select("letters", "signs"), ["letters", "signs"], "left_anti")
+        self._append(fresh, new.count())
         return best.select("letters", "signs", "o.*")
+
+    def load(self, keys: DataFrame) -> None:
+        """Add ``keys`` without asking what they denote; the first ones need not be looked up."""
+        if self.segments():
+            self.check(keys)
+        else:
+            new = cut(self._prefixes(cut(keys.select(*_KEY)), None))
+            self._append(new, new.count())
+
+    def _prefixes(self, keys: DataFrame, old: DataFrame | None) -> DataFrame:
+        """Postings of keys: the stretches with the shortest lists in the index and the batch, or all tokens of short names."""
+        long = F.char_length("letters") > SHORT
+        stretches = _with_tokens(keys.where(long), _KEY, False)
+        lists = stretches.select("token") if old is None else stretches.select("token").unionAll(old.select("token"))
+        lists = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+        rated = stretches.join(lists, "token", "left").groupBy(*_KEY).agg(
+            F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ts")
+        )  # five at most
+        prefix = rated.select(*_KEY, F.explode(F.slice("ts", 1, KEPT)).alias("t")).select(F.col("t.token").alias("token"), *_KEY)
+        return prefix.unionByName(_with_tokens(keys.where(~long), _KEY, False))
+
+    def _write(self, postings: DataFrame, size: int) -> tuple[str, int, int]:
+        """A segment of at most ``size`` postings."""
+        buckets = min(BUCKETS, 1 << max(0, -(-size // self.bucket) - 1).bit_length())
+        folder = f"{self.folder}/segments/{uuid.uuid4().hex}"
+        rows = postings.select("token", *_KEY, F.pmod("token", F.lit(buckets)).cast("int").alias("bucket"))
+        # large buckets become several files
+        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(folder)
+        return folder, buckets, self.spark.read.schema(_POSTINGS).parquet(folder).count()
+
+    def _append(self, postings: DataFrame, most: int) -> None:
+        segments, number = self.segments(), self._versions.latest() + 1
+        written = self._write(postings, most)
+        if not written[2]:
+            return
+        segments.append(written)
+        tail = list(takewhile(lambda x: x[2] <= MERGED * written[2], reversed(segments)))
+        if len(tail) >= MERGED:
+            union = reduce(DataFrame.unionByName, [self.spark.read.schema(_POSTINGS).parquet(f) for f, _, _ in tail])
+            segments = [*segments[: -len(tail)], self._write(union, sum(n for _, _, n in tail))]
+        self._versions.publish(number, json.dumps(segments))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm.history import NameIndex, with_concepts
-from weftgraph.plans.lineage import shared_folder
+from weftgraph.plans.lineage import cut, shared_folder
 from weftgraph.sources.tables import table
 
 #: The batch number of everything accepted before the first batch.
@@ -23,17 +23,24 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Records whose name denotes a concept that was accepted before or brought by an earlier record."""
+    """Records whose name denotes a concept that was accepted before or brought by an earlier record.
+
+    The history is indexed once; then batch after batch is checked against the index and added to it.
+    """
     index = NameIndex(spark, f"{shared_folder(spark)}/names-{uuid.uuid4().hex}")
     history = table(spark, folder, "entities", "name").unionAll(table(spark, folder, "alias_table", "alias"))
-    index.append(index.keys(history, "name", F.lit(BEFORE), F.lit(BEFORE)), first=True)
-    records = _records(spark, folder)
-    keys = index.keys(records, "name", F.col("batch"), F.col("record"))
-    index.append(keys)
-    known = index.earliest(keys).withColumnsRenamed({"batch": "b", "record": "r"})
-    own = with_concepts(records, "name", ["record", "batch"])
-    earlier = F.struct("b", "r") < F.struct(F.col("batch").cast("bigint"), "record")
-    return own.join(known, ["letters", "signs"]).where(earlier).select(F.col("record").alias("record_id"))
+    index.load(index.keys(history, "name", F.lit(BEFORE), F.lit(BEFORE)))
+    records = cut(_records(spark, folder))
+    own = cut(with_concepts(records, "name", ["record", "batch"]))
+    least = own.groupBy("letters", "signs", "batch").agg(F.min("record").alias("record"))
+    found = spark.createDataFrame([], "record_id bigint")
+    for (number,) in sorted(records.select("batch").distinct().collect()):
+        best = index.check(least.where(F.col("batch") == number)).withColumnsRenamed({"batch": "b", "record": "r"})
+        batch = own.where(F.col("batch") == number)
+        earlier = F.struct("b", "r") < F.struct(F.col("batch").cast("bigint"), "record")
+        known = batch.join(best, ["letters", "signs"]).where(earlier)
+        found = found.unionAll(known.select(F.col("record").alias("record_id")))
+    return found
 
 
 QUERIES = {"p5_found": p5_found}
