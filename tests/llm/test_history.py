@@ -5,6 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from weftgraph.llm import history as history_module
 from weftgraph.llm.history import MERGED, NameIndex, _with_tokens, concept
 from weftgraph.plans.lineage import cut, shared_folder
 
@@ -95,7 +96,8 @@ def test_a_batch_reads_its_buckets_only(spark):
         index = _index(spark, bucket=30)
         index.load(index.keys(spark.createDataFrame([(x,) for x in names], "name string"), "name", F.lit(-1), F.lit(-1)))
         probes = _with_tokens(index.keys(batch, "name", F.lit(0), F.lit(0)).select("letters", "signs"), [], True)
-        read = index.postings(probes)
+        finest = index.segments()[0][1]
+        read = index.postings({r[0] % finest for r in probes.collect()})
         plan = read._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [bucket" in plan
         share = read.count() / (n * 3)
@@ -105,6 +107,19 @@ def test_a_batch_reads_its_buckets_only(spark):
     assert sizes[1] < 3 * sizes[0]
 
 
+def test_probes_in_parts_give_the_same(spark, monkeypatch):
+    names, batches = _data()
+    history = spark.createDataFrame([(n,) for n in names], "name string")
+    records = spark.createDataFrame(batches, "record bigint, batch bigint, name string")
+    results = []
+    for most in (history_module.PROBES, 1500, 3):
+        monkeypatch.setattr(history_module, "PROBES", most)
+        index = _index(spark, bucket=200)
+        index.load(index.keys(history, "name", F.lit(-1), F.lit(-1)))
+        results.append({tuple(r) for r in index.check(index.keys(records, "name", F.col("batch"), F.col("record"))).collect()})
+    assert results[0] == results[1] == results[2]
+
+
 def test_segments_of_similar_size_are_merged(spark):
     index = _index(spark)
     for number in range(MERGED):

@@ -38,6 +38,9 @@ FREQUENT = 16
 #: Postings for each bucket that the number of a segment's buckets aims at, and the most buckets of a segment.
 BUCKET, BUCKETS = 100_000, 4096
 
+#: Probes (of 16 bytes) that are sent to all workers at once to meet the buckets of the index they are in.
+PROBES = 4_000_000
+
 #: Segments of similar size (up to so many times the last one) that are merged when there are so many of them.
 MERGED = 8
 
@@ -203,20 +206,38 @@ class NameIndex:
         last = self._versions.latest()
         return [tuple(x) for x in json.loads(self._versions.read(last))] if last >= 0 else []
 
-    def postings(self, tokens: DataFrame | None = None) -> DataFrame:
-        """Postings of all segments; with ``tokens`` those of the buckets only that these are in."""
-        segments, wanted = self.segments(), set()
-        most = max((b for _, b, _ in segments), default=1)
-        if tokens is not None and most > 1:  # at most BUCKETS numbers; numbers of buckets are powers of two
-            wanted = set(tokens.agg(F.collect_set(F.pmod("token", F.lit(most)).cast("int"))).first()[0])
+    def postings(self, wanted: set[int] | None = None) -> DataFrame:
+        """Postings of all segments; with ``wanted`` those only whose bucket of the finest segment is one of these."""
         found = self.spark.createDataFrame([], _POSTINGS)
-        for folder, buckets, _ in segments:
+        for folder, buckets, _ in self.segments():
             part = self.spark.read.schema(_POSTINGS).parquet(folder)
-            if tokens is not None and buckets > 1:
+            if wanted is not None and buckets > 1:  # numbers of buckets are powers of two
                 part = part.where(F.col("bucket").isin(sorted({w % buckets for w in wanted})))
             found = found.unionByName(part)
         return found.drop("bucket")
 
+    def _met(self, probes: DataFrame) -> DataFrame:
+        """(kid, token, l, s, batch, record): postings with the tokens of ``probes`` (kid, token).
+
+        Nothing of the index is shuffled: probes are taken in as many parts by bucket as it takes for a part to be sent to all
+        workers, and each part meets its own buckets only. A part that is greater all the same, as one token can be in any
+        number of names, is joined by a shuffle.
+        """
+        finest = max((b for _, b, _ in self.segments()), default=1)
+        bucket = F.pmod("token", F.lit(finest)).cast("int")
+        sizes = {b: n for b, n in probes.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}  # BUCKETS rows at most
+        parts = 1
+        while parts < finest and sum(sizes.values()) > parts * PROBES:
+            parts *= 2
+        found = []
+        for number in range(parts):
+            wanted = {b: n for b, n in sizes.items() if b % parts == number}
+            side = probes.where(F.pmod("token", F.lit(parts)) == number)
+            side = F.broadcast(side) if sum(wanted.values()) <= PROBES else side
+            old = self.postings(set(wanted)).withColumnsRenamed({"letters": "l", "signs": "s"})
+            found.append(cut(old.join(side, "token")))  # one part after the other
+        return reduce(DataFrame.unionByName, found)
+
     def keys(self, names: DataFrame, name: str, batch: Column, record: Column) -> DataFrame:
         """(letters, signs, batch, record): the different concepts of names and the least order of each."""
         rows = names.select(F.col(name).alias("name"), batch.cast("bigint").alias("batch"), record.cast("bigint").alias("record"))
@@ -230,14 +251,14 @@ class NameIndex:
         """
         # a hash that two names share costs a verification
         own = keys.select(*_KEY).withColumn("kid", F.xxhash64("letters", "signs"))
-        probes = _with_tokens(own, ["kid"], True)
-        if any(buckets > 1 for _, buckets, _ in self.segments()):
-            probes = cut(probes)
-        old = self.postings(probes)
-        new = cut(self._prefixes(own, old))
-        both = old.withColumn("old", F.lit(True)).unionByName(new.withColumn("old", F.lit(False)))
-        found = probes.join(both.withColumnsRenamed({"letters": "l", "signs": "s"}), "token").drop("token")
-        pairs = own.select("kid", "letters", "signs").join(found, "kid").where(
+        probes = cut(_with_tokens(own, ["kid"], True))
+        old = self._met(probes)
+        lengths = old.groupBy("token", "kid").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max("n").alias("n"))
+        new = cut(self._prefixes(own, lengths))
+        size = new.count()
+        here = (F.broadcast(new) if size <= PROBES // 4 else new).withColumnsRenamed({"letters": "l", "signs": "s"})
+        both = old.withColumn("old", F.lit(True)).unionByName(probes.join(here, "token").withColumn("old", F.lit(False)))
+        pairs = own.select("kid", "letters", "signs").join(both.drop("token"), "kid").where(
             (F.col("signs") == F.col("s"))
             & (F.abs(F.char_length("letters") - F.char_length("l")) <= EDITS)
             & (F.levenshtein("letters", "l", EDITS) >= 0)
@@ -245,7 +266,7 @@ class NameIndex:
         known = F.max((F.col("letters") == F.col("l")) & F.col("old")).alias("known")
         best = cut(pairs.groupBy("letters", "signs").agg(F.min(F.struct("batch", "record")).alias("o"), known))
         fresh = new.join(best.where("known").select("letters", "signs"), ["letters", "signs"], "left_anti")
-        self._append(fresh, new.count())
+        self._append(fresh, size)
         return best.select("letters", "signs", "o.*")
 
     def load(self, keys: DataFrame) -> None:
@@ -256,12 +277,15 @@ class NameIndex:
             new = cut(self._prefixes(cut(keys.select(*_KEY)), None))
             self._append(new, new.count())
 
-    def _prefixes(self, keys: DataFrame, old: DataFrame | None) -> DataFrame:
-        """Postings of keys: the stretches with the shortest lists in the index and the batch, or all tokens of short names."""
+    def _prefixes(self, keys: DataFrame, lengths: DataFrame | None) -> DataFrame:
+        """Postings of keys: the stretches with the shortest lists in the index (token, n) and the batch, or all tokens of
+        short names."""
         long = F.char_length("letters") > SHORT
         stretches = _with_tokens(keys.where(long), _KEY, False)
-        lists = stretches.select("token") if old is None else stretches.select("token").unionAll(old.select("token"))
-        lists = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+        lists = stretches.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        if lengths is not None:
+            lists = lists.unionAll(lengths.select("token", "n")).groupBy("token").agg(F.sum("n").alias("n"))
+        lists = lists.where(F.col("n") >= FREQUENT)
         rated = stretches.join(lists, "token", "left").groupBy(*_KEY).agg(
             F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ts")
         )  # five at most
