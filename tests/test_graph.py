@@ -76,9 +76,20 @@ def test_components_and_cover(spark):
 
 
 def test_decisions(spark):
-    answer = {"same": [{"canonical": "z", "members": ["a", "b", "b", "q"]}, {"canonical": "a", "members": ["a", "c"]}], "related": [{"from": "a", "to": "a"}], "different": [{"a": "a", "b": "q"}], "unsure": ["c", "q"]}
-    found = decisions.validated(answer, ["a", "b", "c"])
-    assert found == {"same": [{"canonical": None, "members": ["a", "b"], "reason": ""}], "related": [], "different": [], "unsure": ["c"], "rejected": 1}
+    group = lambda canonical, *members: (canonical, list(members), None)
+    rows = [
+        ("x", ["a", "b", "c"], ([group("z", "a", "b", "b", "q"), group("a", "a", "c")], [("a", "a", "r")], [("a", "q")], ["c", "q"]), 7),
+        ("y", ["a", "b"], None, 7),
+        # a name of a rejected group is free for a later one
+        ("z", ["a", "b", "c"], ([group("a", "a"), group("a", "a", "b"), (None, None, None)], [("a", "b", None)], [("b", "c"), None], None), 7),
+    ]
+    df = spark.createDataFrame(rows, f"cluster_id string, members array<string>, answer {decisions.ANSWER}, extra int")
+    found = {r["cluster_id"]: r.asDict(recursive=True) for r in decisions.validated(df).collect()}
+    nothing = {"same": [], "related": [], "different": [], "unsure": [], "rejected": 0, "extra": 7}
+    assert found["x"] == {**nothing, "cluster_id": "x", "members": ["a", "b", "c"], "same": [{"canonical": None, "members": ["a", "b"], "reason": ""}], "unsure": ["c"], "rejected": 1}
+    assert found["y"] == {**nothing, "cluster_id": "y", "members": ["a", "b"]}
+    assert found["z"]["same"] == [{"canonical": "a", "members": ["a", "b"], "reason": ""}] and found["z"]["rejected"] == 1
+    assert found["z"]["related"] == [{"from": "a", "to": "b", "relation": ""}] and found["z"]["different"] == [{"a": "b", "b": "c"}]
     nodes = spark.createDataFrame(
         [("Graph Model", "model", 3, ["d"], ["c1", "c2"], 5), ("Graph Models", "method", 1, ["e"], ["c2"], 2), ("Other", "task", 1, [], [], 0)],
         "name string, type string, papers int, fragments array<string>, source_ids array<string>, degree int",

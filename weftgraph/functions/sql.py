@@ -48,3 +48,18 @@ def lexical_overlap(x: str, y: str) -> str:
     common = f"len(list_intersect({x}, {y}))"
     union = f"(len({x}) + len({y}) - {common})"
     return f"(len({x}) > 0 AND len({y}) > 0 AND ({common} = len({x}) OR {common} = len({y}) OR {common} * 2 >= {union}))"
+
+
+def acronym_like(a: str, b: str) -> str:
+    """Whether one of two columns of names spells the initials of the other."""
+
+    def spells(x: str, y: str) -> str:
+        capitals = f"regexp_replace({x}, '[^A-Z]', '', 'g')"
+        forms = f"[lower(regexp_replace({x}, '[^A-Za-z0-9]', '', 'g')), lower({capitals})]"
+        whole = "CASE WHEN regexp_matches(w, '[A-Z]') AND NOT regexp_matches(w, '[a-z]') AND length(w) > 1 THEN lower(w) ELSE lower(left(w, 1)) END"
+        kept = f"array_to_string(list_transform(regexp_extract_all({y}, '[A-Za-z0-9]+'), lambda w: {whole}), '')"
+        keys = f"list_filter([{initials(y)}, {initials(y, False)}, {kept}], lambda k: length(k) >= 2)"
+        many = f"(regexp_matches(trim({y}), '\\S\\s+\\S') OR contains({y}, '-'))"
+        return f"({many} AND NOT contains(trim({x}), ' ') AND length({capitals}) >= 2 AND len(list_intersect({forms}, {keys})) > 0)"
+
+    return f"({spells(a, b)} OR {spells(b, a)})"

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 TokenCounter = Callable[[str], int]
 
 #: Words in pieces of at most six letters, numbers in pieces of three digits, and single signs.
-_PIECE = re.compile(r"[^\W\d_]{1,6}|\d{1,3}|[^\w\s]|_")
+PIECE = r"\p{L}{1,6}|\p{Nd}{1,3}|[^\p{L}\p{Nd}\s]"
 
 
-def word_pieces(text: str) -> int:
-    """A deterministic stand-in for a subword tokenizer, for use without vocabulary files."""
-    return len(_PIECE.findall(text))
+def pieces(text: Column) -> Column:
+    """A deterministic stand-in for a subword tokenizer, for use without vocabulary files; no piece reaches over a blank."""
+    return F.regexp_count(text, F.lit(PIECE)).cast("bigint")
 
 
 def vocabulary_counter(path: str, pattern: str) -> TokenCounter:

@@ -261,47 +261,6 @@ def stoplist_antijoin(spark: SparkSession, folder: str) -> DataFrame:
     return graph.without_stopped(concepts, table(spark, folder, "stop_names"))
 
 
-#: Labels of papers that collide by name, and the papers that use them.
-LOCAL_ROWS = [
-    ("Model A", ["2401.00001"]),
-    ("model B", ["2401.00001", "2401.00002"]),
-    ("Setting iv", ["2401.00003"]),
-    ("Setting iv (2401.00003)", ["2401.00003"]),
-    ("Dataset 12", ["2401.00004", "2401.00004"]),
-    ("Model Alpha", ["2401.00005"]),
-    ("group x", ["2401.00006"]),
-]
-
-
-@query(
-    """WITH local(name, papers) AS (VALUES
-      ('Model A', ['2401.00001']), ('model B', ['2401.00001', '2401.00002']), ('Setting iv', ['2401.00003']),
-      ('Setting iv (2401.00003)', ['2401.00003']), ('Dataset 12', ['2401.00004', '2401.00004']), ('Model Alpha', ['2401.00005']),
-      ('group x', ['2401.00006']))
-    SELECT name, name || ' (' || papers[1] || ')' AS renamed FROM local
-    WHERE regexp_matches(name, '^(model|mixture|setting|variant|config(uration)?|system|method|baseline|dataset|split|run|group|case|condition|arm)\\s+([a-z]|[0-9]{1,2}|[ivx]{1,4})$', 'i')
-      AND len(list_distinct(papers)) = 1 AND name || ' (' || papers[1] || ')' NOT IN (SELECT name FROM local)"""
-)
-def paper_local_rename(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels of one paper and their new names."""
-    return graph.paper_local_names(spark.createDataFrame(LOCAL_ROWS, "name string, papers array<string>"))
-
-
-@query(
-    f"""WITH RECURSIVE {NODES_SQL}, {ALIAS_SQL}, {CHAIN_SQL}, merged AS (
-      SELECT coalesce(c.final, n.name) AS name, n.name AS old, n.rows_n FROM nodes AS n LEFT JOIN chain AS c USING (name)
-    ) SELECT name, CAST(count(*) AS BIGINT) AS members, CAST(sum(rows_n) AS BIGINT) AS entity_rows FROM merged GROUP BY name"""
-)
-def merged_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    """Nodes after all known aliases are applied, with the number of names and rows that went into each."""
-    known = aliases.canonical_of(table(spark, folder, "alias_table")).where("alias <> canonical")
-    found = nodes(spark, folder)
-    finals = aliases.resolved(known, found.select("name"))
-    return found.join(finals, "name").groupBy(F.col("final").alias("name")).agg(
-        F.count(F.lit(1)).alias("members"), F.sum("rows_n").alias("entity_rows")
-    )
-
-
 @query(
     f"""WITH {EDGES_SQL}, moved AS (
       SELECT 'brand ' || p.p_brand AS src, e.dst, e.n FROM edges AS e JOIN part AS p ON e.src = 'part ' || p.p_partkey

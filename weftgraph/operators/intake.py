@@ -72,15 +72,16 @@ def content_hash(text: Column) -> Column:
 def intake(papers: DataFrame, manifest: DataFrame, metadata: DataFrame) -> DataFrame:
     """Manifest records of papers (arxiv_id, content_hash) that are new, changed or not finished.
 
-    Metadata overwrites what was known, with nulls too; columns that intake doesn't set keep the known values.
+    A paper without a row in the manifest is new, any other is changed. Metadata overwrites what was known, with nulls too;
+    columns that intake doesn't set keep the known values.
     """
     known = manifest.withColumnsRenamed({"content_hash": "known_hash", "status": "known_status"}).drop(
         "previous_hash", "title", "authors", "submitted", "categories"
     )
-    joined = papers.join(known, "arxiv_id", "left").join(metadata, "arxiv_id", "left")
+    joined = papers.join(known.withColumn("known", F.lit(True)), "arxiv_id", "left").join(metadata, "arxiv_id", "left")
     same = F.coalesce((F.col("known_hash") == F.col("content_hash")) & (F.col("known_status") == "indexed"), F.lit(False))
     changed = joined.where(~same).withColumn("previous_hash", F.col("known_hash"))
-    return changed.withColumn("status", F.when(F.col("known_hash").isNull(), "new").otherwise("changed")).drop("known_hash", "known_status")
+    return changed.withColumn("status", F.when(F.col("known").isNull(), "new").otherwise("changed")).drop("known_hash", "known_status", "known")
 
 
 def replaced(documents: DataFrame, fresh: DataFrame, key: str = "doc_id") -> DataFrame:

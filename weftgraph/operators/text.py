@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from weftgraph.functions import markdown as md
-from weftgraph.functions.tokens import TokenCounter, word_pieces
-
-#: Columns of a cleaned text.
-CLEANED = (
-    "text string, references array<struct<key:string,raw:string,arxiv_id:string,doi:string,"
-    "citing:array<struct<sentence:string,section:string>>>>, tokens_before bigint, tokens_after bigint, "
-    "removed map<string,bigint>, flags array<string>"
-)
-
-
 def per_text(df: DataFrame, keys: list[str], text: str, columns: str, rows) -> DataFrame:
     """(keys, columns) with the rows (dicts) that ``rows`` makes of each text; no shuffle. Null texts give none."""
     schema = T.StructType.fromDDL(columns)
@@ -42,54 +31,6 @@ def per_text(df: DataFrame, keys: list[str], text: str, columns: str, rows) -> D
     return source.mapInArrow(run, whole)
 
 
-def cleaned(df: DataFrame, keys: list[str], text: str, drop_appendix: bool = True, count: TokenCounter = word_pieces) -> DataFrame:
-    """(keys, text, references, token counts, removed, flags) of each Markdown text."""
-
-    def rows(value: str):
-        c = md.clean(value, drop_appendix, count=count)
-        yield {
-            "text": c.text,
-            "references": [vars(e) for e in c.references],
-            "tokens_before": c.tokens_before,
-            "tokens_after": c.tokens_after,
-            "removed": list(c.removed.items()),
-            "flags": c.flags,
-        }
-
-    return per_text(df, keys, text, CLEANED, rows)
-
-
-def sections(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, sec_no, heading_level, title, start_line, end_line, subtree_end, section_path) of each text.
-
-    Section 0 is what stands before the first heading; it has no title, and is left out if it has no lines.
-    """
-    schema = (
-        "sec_no int, heading_level int, title string, start_line int, end_line int, subtree_end int, section_path array<string>"
-    )
-
-    def rows(value: str):
-        for n, s in enumerate(md.sections(value.split("\n"))):
-            if s.level or s.end:
-                yield {
-                    "sec_no": n,
-                    "heading_level": s.level,
-                    "title": s.title if s.level else None,
-                    "start_line": s.start,
-                    "end_line": s.end,
-                    "subtree_end": s.whole,
-                    "section_path": list(s.path),
-                }
-
-    return per_text(df, keys, text, schema, rows)
-
-
-def sentences(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, sentence_no, sentence) of each text; abbreviations and citation links don't end a sentence."""
-    schema = "sentence_no int, sentence string"
-    return per_text(df, keys, text, schema, lambda v: [{"sentence_no": n, "sentence": s} for n, s in enumerate(md.sentences(v))])
-
-
 def lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, line_no, line): the lines of each text from 0."""
     return df.select(*keys, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))

@@ -69,25 +69,6 @@ def nn_label_agreement(spark: SparkSession, folder: str) -> DataFrame:
     return export.agreement(_near(spark, folder, 5), labels)
 
 
-@query(
-    f"""WITH {NEAR_SQL}, typed AS (SELECT id, CAST(label AS VARCHAR) AS label FROM unit)
-    SELECT CAST(least(n.id, n.neighbour) AS VARCHAR) AS a, CAST(greatest(n.id, n.neighbour) AS VARCHAR) AS b, max(sim) AS sim
-    FROM near AS n JOIN typed AS x ON x.id = n.id JOIN typed AS y ON y.id = n.neighbour
-    WHERE rank <= 10 AND sim >= 0.3 AND ((sim >= 0.4 AND x.label = y.label) OR n.id = n.neighbour) GROUP BY 1, 2"""
-)
-def nn_accepted(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs of neighbours that are similar enough and of the same label."""
-    near = _near(spark, folder, 10).where("sim >= 0.3")
-    labels = table(spark, folder, "embeddings", "vec_id", "label")
-    typed = labels.select(F.col("vec_id").alias("name"), F.col("label").cast("string").alias("type"))
-    named = near.select(F.col("id").alias("name"), "neighbour", "sim")
-    types = typed.withColumnsRenamed({"name": "neighbour", "type": "other"})
-    kept = named.join(typed, "name").join(types, "neighbour").where("sim >= 0.4 AND type = other")
-    return kept.groupBy(F.least("name", "neighbour").cast("string").alias("a"), F.greatest("name", "neighbour").cast("string").alias("b")).agg(
-        F.max("sim").alias("sim")
-    )
-
-
 @query("SELECT vec_id, name, 'ent-' || md5(name) AS computed, ent_id = 'ent-' || md5(name) AS agrees FROM vectors_entities WHERE name IS NOT NULL")
 def vector_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of entity vectors from their names."""
@@ -161,26 +142,6 @@ def batch_new_names(spark: SparkSession, folder: str) -> DataFrame:
     return quality.new_by_batch(_extracted(spark, folder).withColumnRenamed("arxiv_id", "paper"), 50)
 
 
-#: Answers of extraction calls, as the model gives them.
-ANSWERS = [
-    ("c1", "extract", "Extract.", "(entity<|#|>Alpha<|#|>model\nentity<|#|>Beta<|#|>data\nrelation<|#|>Alpha<|#|>Beta"),
-    ("c1", "extract", "Based on the last extraction task, add.", "entity<|#|>alpha<|#|>model\nentity<|#|>Gamma<|#|>x"),
-    ("c2", "extract", "Extract.", "entity<|#|>Delta<|#|>y\nrelation<|#|>a<|#|>b\nrelation<|#|>c<|#|>d"),
-    ("c2", "summary", "Summarise.", "entity<|#|>No<|#|>y"),
-    ("c3", "extract", "Based on the last extraction task, add.", "relation<|#|>e<|#|>f"),
-]
-
-
-@query(
-    """SELECT CAST(3 AS BIGINT) AS extract_names, CAST(1 AS BIGINT) AS glean_new_names, CAST(3 AS BIGINT) AS extract_relations,
-      CAST(1 AS BIGINT) AS glean_relations, CAST(0.333 AS DOUBLE) AS name_rate, CAST(0.333 AS DOUBLE) AS relation_rate"""
-)
-def gleaning_effect(spark: SparkSession, folder: str) -> DataFrame:
-    """What a second extraction call adds."""
-    cache = spark.createDataFrame(ANSWERS, "chunk_id string, cache_type string, prompt string, answer string")
-    return quality.gleaning_effect(quality.extraction_rows(cache))
-
-
 @query(
     """SELECT coalesce(nullif(lower(trim(entity_type)), ''), 'other') AS type, CAST(count(*) AS BIGINT) AS n FROM entities GROUP BY 1"""
 )
@@ -274,12 +235,3 @@ def cluster_decisions(spark: SparkSession, folder: str) -> DataFrame:
     empty = rows.select("name", F.array().cast("array<string>").alias("examples"))
     asked = decisions.payloads(asking, rows, empty)
     return decisions.decide(asked, asked, decisions.RuleProvider()).select("cluster_id", F.size("same").alias("groups"), "second_look")
-
-
-@query()
-def hub_review(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether the descriptions of the fifty greatest hubs are of one concept, by the rule provider."""
-    rows = table(spark, folder, "entities", "name", "description").select(filled("name").alias("name"), F.explode(F.split("description", "<SEP>")).alias("f"))
-    top = graph.hubs(nodes(spark, folder))
-    shown = rows.join(top.select("name"), "name").where("trim(f) <> ''").groupBy("name").agg(F.slice(F.array_sort(F.collect_set("f")), 1, 12).alias("fragments"))
-    return graph.hub_verdicts(shown, decisions.RuleProvider())

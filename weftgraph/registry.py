@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from weftgraph import graph_queries, quality_queries, queries_core, text_queries
+from weftgraph import graph_queries, quality_queries, queries_core, table_queries, text_queries
 
-MODULES = (queries_core, graph_queries, text_queries, quality_queries)
+MODULES = (queries_core, graph_queries, text_queries, quality_queries, table_queries)
 
 
 def queries() -> dict[str, Callable]:

@@ -47,11 +47,8 @@ def change_detection(spark: SparkSession, folder: str) -> DataFrame:
     """Manifest records of papers to process, with their hashes before and now."""
     papers = intake.latest_scan(table(spark, folder, "corpus_scan"))
     known = intake.latest_state(table(spark, folder, "manifest", "arxiv_id", "run_no", "content_hash", "status", "recorded_at", "loaded_at"))
-    joined = papers.join(known.withColumn("seen", F.lit(True)), "arxiv_id", "left")
-    same = F.coalesce((F.col("known_hash") == F.col("content_hash")) & (F.col("status") == "indexed"), F.lit(False))
-    return joined.where(~same).select(
-        "arxiv_id", "content_hash", F.col("known_hash").alias("previous_hash"), F.when(F.col("seen").isNull(), "new").otherwise("changed").alias("status")
-    )
+    known = known.withColumnRenamed("known_hash", "content_hash")
+    return intake.intake(papers, known, papers.select("arxiv_id")).select("arxiv_id", "content_hash", "previous_hash", "status")
 
 
 LINES_SQL = """
@@ -88,33 +85,6 @@ def line_explode_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    """SELECT DISTINCT arxiv_id, sec_no, heading_level, coalesce(trim(title), '') AS title, start_line, end_line,
-      array_to_string(list_transform(section_path, lambda x: coalesce(x, '')), ' > ') AS path FROM sections WHERE heading_level > 0"""
-)
-def section_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Sections found in the cleaned texts, to be compared with the table of sections."""
-    papers = table(spark, folder, "clean_results", "arxiv_id", "text").dropDuplicates(["arxiv_id"])
-    found = text.sections(papers, ["arxiv_id"], "text").where("heading_level > 0")
-    return found.select(
-        "arxiv_id", "sec_no", "heading_level", "title", "start_line", "end_line", F.array_join("section_path", " > ").alias("path")
-    )
-
-
-@query()
-def cleaned_papers(spark: SparkSession, folder: str) -> DataFrame:
-    """What a second cleanup takes out of the cleaned papers."""
-    papers = table(spark, folder, "clean_results", "arxiv_id", "text").dropDuplicates(["arxiv_id"])
-    return text.cleaned(papers, ["arxiv_id"], "text").select("arxiv_id", "tokens_before", "tokens_after", F.size("references").alias("n_references"), "flags")
-
-
-@query()
-def sentence_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Sentences of every document."""
-    rows = text.sentences(table(spark, folder, "documents", "doc_id", "text"), ["doc_id"], "text")
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.max(F.char_length("sentence")).alias("longest"))
-
-
 @query(
     """SELECT arxiv_id, tokens_before, tokens_after,
       round(1 - tokens_after / nullif(tokens_before - coalesce(removed['appendix'], 0), 0), 4) AS share
@@ -139,27 +109,6 @@ REFERENCES = [
 _VALUES = ", ".join("({}, '{}', '{}')".format(*r) for r in REFERENCES)
 
 
-@query(
-    f"""WITH refs(id, raw, cited) AS (VALUES {_VALUES}), parts AS (
-      SELECT id, trim(p) AS p, i FROM (SELECT id, unnest(string_split(cited, ',')) AS p, generate_subscripts(string_split(cited, ','), 1) AS i FROM refs)
-    ), spans AS (
-      SELECT id, i, CASE WHEN regexp_matches(p, '^[0-9]+\\s*[–-]\\s*[0-9]+$') THEN CAST(regexp_extract(p, '^[0-9]+') AS INT)
-          WHEN regexp_matches(p, '^[0-9]+$') THEN CAST(p AS INT) END AS low,
-        CASE WHEN regexp_matches(p, '^[0-9]+\\s*[–-]\\s*[0-9]+$') THEN CAST(regexp_extract(p, '[0-9]+$') AS INT)
-          WHEN regexp_matches(p, '^[0-9]+$') THEN CAST(p AS INT) END AS high FROM parts
-    ), numbers AS (SELECT id, i, unnest(range(low, high + 1)) AS n FROM spans WHERE high - low BETWEEN 0 AND 49),
-    joined AS (SELECT id, string_agg(CAST(n AS VARCHAR), ' ' ORDER BY i, n) AS numbers FROM numbers GROUP BY id)
-    SELECT CAST(refs.id AS BIGINT) AS id, nullif(regexp_extract(raw, '(?i)(?:arxiv[:\\s]*|arxiv\\.org/(?:abs|pdf)/)([0-9]{{4}}\\.[0-9]{{4,5}})', 1), '') AS paper,
-      nullif(regexp_extract(raw, '\\b(10\\.[0-9]{{4,9}}/[^\\s"<>]+[^\\s"<>.,;)])', 1), '') AS doi, coalesce(joined.numbers, '') AS numbers
-    FROM refs LEFT JOIN joined ON joined.id = refs.id"""
-)
-def reference_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """Paper ids, DOIs and expanded citation numbers of references."""
-    rows = spark.createDataFrame(REFERENCES, "id bigint, raw string, cited string")
-    numbers = F.transform(text.citation_numbers(F.col("cited")), lambda n: n.cast("string"))
-    return rows.select("id", text.paper_id(F.col("raw")).alias("paper"), text.doi(F.col("raw")).alias("doi"), F.array_join(numbers, " ").alias("numbers"))
-
-
 #: Pages with what a page has that is no text.
 PAGES = [
     (1, '<html><head><title>First &amp; last</title></head><body><nav>menu</nav><p>Body <a href="x">link</a> text</p></body></html>'),
@@ -168,16 +117,6 @@ PAGES = [
 _PAGES = ", ".join("({}, '{}')".format(*p) for p in PAGES)
 
 
-@query(
-    f"""WITH pages(id, html) AS (VALUES {_PAGES}) SELECT CAST(id AS BIGINT) AS id,
-      replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&') AS title,
-      CASE id WHEN 1 THEN 'Body link text' || chr(10) ELSE 'Only **bold**' || chr(10) END AS markdown FROM pages"""
-)
-def html_markdown(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages as Markdown."""
-    return html.pages_to_markdown(spark.createDataFrame(PAGES, "id bigint, html string"), ["id"], "html")
-
-
 @query(
     """SELECT doc_id, regexp_replace(text, '\\[([^\\]]*)\\]\\(#(bib\\.bib[0-9]+)\\)', '\\1', 'g') AS plain FROM documents WHERE contains(text, '[')"""
 )
