@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from weftgraph.llm import neighbours
 from weftgraph.llm.neighbours import COPIES, nearest, traverse
 
 
@@ -36,6 +37,21 @@ def test_recall_and_odd_vectors(spark):
     assert len(got & expected) >= 0.97 * len(expected) and len(got - expected) <= 0.03 * len(expected)
 
 
+def test_a_dense_region_is_searched_in_blocks_and_exactly(spark, monkeypatch):
+    """Near-identical vectors, nearly all of whose pairs are asked for, in small blocks, lists and portions."""
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=24)
+    rows = [(i, (one + rng.normal(size=24) * 0.02).astype(np.float32).tolist()) for i in rng.permutation(700).tolist()]
+    rows += [(1000 + i, np.round(one, 1).tolist()) for i in range(30)]  # ties
+    for name, value in (("BLOCK", (64, 96)), ("HELD", 3000), ("DEALT", 50), ("LIST", 150), ("QUERIES", 200)):
+        monkeypatch.setattr(neighbours, name, value)
+    df = spark.createDataFrame(rows, "vec_id bigint, vectors array<float>")
+    got = {(r["vec_id"], r["neighbour"]) for r in nearest(df, k=10, least=0.85, recall=1.0).collect()}
+    expected = _brute(rows, 10, 0.85)
+    assert len(got) == len(expected) == 7300
+    assert len(got & expected) >= 0.999 * len(expected)  # vectors are kept with 32 bits
+
+
 def test_many_copies_empty_and_single(spark):
     rng = np.random.default_rng(2)
     one = rng.normal(size=16).tolist()

@@ -3,8 +3,9 @@
 Unit vectors are cut into two halves, and each half is quantised by its own centroids, so a cell of the index is a pair of
 centroids. For a query the pairs are traversed with a heap by the sum of the two distances by which the query's halves lie
 on their own centroid's side of the border to the other centroid; that sum bounds from below how far vectors of the cell
-are, and the traversal ends where it exceeds a share of the greatest distance asked for. Entries of the cells are reranked
-by exact cosines. Pairs found from either side count for both.
+are. The traversal ends where it exceeds a limit: the greatest squared distance asked for, which loses nothing, or less,
+calibrated on the sample's own pairs for a wanted recall. Entries of the cells are reranked by exact cosines, in blocks of
+which each vector's best are kept at once. Pairs found from either side count for both.
 
 Vectors travel once to each first-half list that one of their cells is in. Lists are split by entries, so that no task holds
 more than a bounded number, and by queries, as a list in the middle of all vectors is near to most of them; queries stream
@@ -34,9 +35,13 @@ FILL, MOST = 32, 1024
 #: Entries of a list that one task holds, and queries that stream past them in one task, as expected from the sample.
 LIST, QUERIES = 20_000, 20_000
 
-#: Share of the greatest squared distance asked for that the traversal's bound may reach. The differences of close vectors
-#: spread over all directions, so little of them is across one border; the share is measured, not derived.
-SPREAD = 0.02
+#: Share of the pairs asked for that the traversal's limit is calibrated to reach, and the share of the greatest squared
+#: distance that the limit has at least, for samples with few pairs.
+RECALL, SPREAD = 0.9995, 0.02
+
+#: Queries and entries that are multiplied at once, pairs that are held before each query's best are kept, and vectors with
+#: their cells that one task is dealt, on average.
+BLOCK, HELD, DEALT = (1024, 4096), 2_000_000, 100_000
 
 #: Identical vectors from which only one of them is searched.
 COPIES = 64
@@ -110,6 +115,25 @@ def traverse(first: np.ndarray, second: np.ndarray, limit: float) -> list[tuple[
     return found
 
 
+def calibrated(index: MultiIndex, sample: np.ndarray, borders, least: float, recall: float) -> float:
+    """The limit within which ``recall`` of the sample's pairs with a cosine of ``least`` lie, seen from the better side."""
+    greatest = 2 * (1 - least)
+    if recall >= 1:
+        return greatest
+    (own1, near1), (own2, near2) = borders
+    needs = []
+    for low in range(0, len(sample), BLOCK[0]):
+        q, e = np.nonzero(sample[low : low + BLOCK[0]] @ sample.T >= least)
+        q += low
+        once = q < e
+        q, e = q[once], e[once]
+        there = near1[q, own1[e]] + near2[q, own2[e]]
+        needs.append(np.minimum(there, near1[e, own1[q]] + near2[e, own2[q]]))
+    need = np.concatenate(needs)
+    reached = float(np.quantile(need, recall)) if len(need) else 0.0
+    return min(greatest, max(SPREAD * greatest, reached))
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     width = rows.dtype.itemsize * rows.shape[1]
     offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
@@ -185,42 +209,59 @@ def _vectors(column: pa.Array, dim: int) -> np.ndarray:
 def _rerank(dim: int, k: int, least: float):
     """Pairs of each list: its entries, which come first, against the vectors that look into their cells."""
 
-    def within(entries, ids, cells, rows) -> pa.RecordBatch:
+    def best(q: np.ndarray, e: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The k best entries of each vector; entries are numbered by their ids, so ties go to the smaller id."""
+        order = np.lexsort((e, -cosine, q))
+        q, e, cosine = q[order], e[order], cosine[order]
+        head = np.flatnonzero(np.diff(q, prepend=-1))
+        rank = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
+        on = rank < k
+        return q[on], e[on], cosine[on]
+
+    def block(q: np.ndarray, e: np.ndarray, ids, rows, entries) -> tuple[np.ndarray, ...]:
+        """Pairs of some vectors and some entries with a cosine of ``least``; of dense blocks only each vector's best."""
+        entry_ids, _, entry_rows, by_id, _ = entries
+        near = rows[q] @ entry_rows[e].T >= least - 1e-5
+        near &= ids[q][:, None] != entry_ids[e]
+        if np.count_nonzero(near) > 4 * k * len(q):
+            exact = np.round(rows[q].astype(np.float64) @ entry_rows[e].astype(np.float64).T, 7)
+            exact[~near | (exact < least)] = -2
+            # a whole number for each place: the cosine, and of equal ones the smaller id
+            places = np.rint(exact * 1e7).astype(np.int64) * len(by_id) - by_id[e]
+            kept = np.argpartition(-places, min(k, len(e) - 1), axis=1)[:, :k]
+            x = np.repeat(np.arange(len(q)), kept.shape[1])
+            y = kept.ravel()
+            cosine = exact[x, y]
+        else:
+            x, y = np.nonzero(near)
+            cosine = np.round(np.einsum("ij,ij->i", rows[q[x]].astype(np.float64), entry_rows[e[y]].astype(np.float64)), 7)
+        on = cosine >= least
+        return q[x[on]], by_id[e[y[on]]], cosine[on]
+
+    def within(entries, ids, cells, rows) -> pa.RecordBatch | None:
         """The k best entries of each vector, among those of its cells; pairs with the lesser id first."""
-        entry_ids, entry_cells, entry_rows = entries
         looked = np.concatenate([np.frombuffer(c, dtype=np.uint16) for c in cells])
         who = np.repeat(np.arange(len(ids)), [len(c) // 2 for c in cells])
         order = np.argsort(looked, kind="stable")
         looked, who = looked[order], who[order]
         starts = np.flatnonzero(np.diff(looked, prepend=-1))
-        found_q, found_e = [], []
-        for s, e in zip(starts, np.append(starts[1:], len(looked))):
-            low, high = np.searchsorted(entry_cells, [looked[s], looked[s] + 1])
-            if low == high:
-                continue
-            q, e_ = np.nonzero(rows[who[s:e]] @ entry_rows[low:high].T >= least - 1e-5)
-            found_q.append(who[s:e][q])
-            found_e.append(e_ + low)
-        if not found_q:
+        found, size = [], 0
+        for s, t in zip(starts, np.append(starts[1:], len(looked))):
+            low, high = np.searchsorted(entries[1], [looked[s], looked[s] + 1])
+            for a in range(s, t, BLOCK[0]):
+                for b in range(low, high, BLOCK[1]):
+                    found.append(block(who[a : min(t, a + BLOCK[0])], np.arange(b, min(high, b + BLOCK[1])), ids, rows, entries))
+                    size += len(found[-1][0])
+                    if size > HELD:
+                        found = [best(*(np.concatenate([f[i] for f in found]) for i in range(3)))]
+                        size = len(found[0][0]) // 2
+        if not found:
             return None
-        q, e = np.concatenate(found_q), np.concatenate(found_e)
-        other = ids[q] != entry_ids[e]
-        q, e = q[other], e[other]
-        cosine = np.empty(len(q))
-        for low in range(0, len(q), 65_536):
-            x, y = (m[at[low : low + 65_536]].astype(np.float64) for m, at in ((rows, q), (entry_rows, e)))
-            cosine[low : low + 65_536] = np.round(np.einsum("ij,ij->i", x, y), 7)
-        kept = np.flatnonzero(cosine >= least)
-        order = kept[np.lexsort((entry_ids[e[kept]], -cosine[kept], q[kept]))]
-        if not len(order):
+        q, e, cosine = best(*(np.concatenate([f[i] for f in found]) for i in range(3)))
+        if not len(q):
             return None
-        group = q[order]
-        head = np.flatnonzero(np.diff(group, prepend=-1))
-        rank = np.arange(len(group)) - np.repeat(head, np.diff(np.append(head, len(group))))
-        order = order[rank < k]
-        a, b = ids[q[order]], entry_ids[e[order]]
-        columns = [np.minimum(a, b), np.maximum(a, b), cosine[order]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "cosine"])
+        a, b = ids[q], entries[4][e]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.minimum(a, b), np.maximum(a, b), cosine)], names=["a", "b", "cosine"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, entries, asked = None, [], None, []
@@ -230,8 +271,12 @@ def _rerank(dim: int, k: int, least: float):
             nonlocal asked, entries, waiting
             if held and entries is None:
                 ids, cells, rows = (np.concatenate([h[i] for h in held]) for i in range(3))
-                order = np.argsort(cells, kind="stable")
-                entries = ids[order], cells[order], rows[order]
+                order = np.lexsort((ids, cells))
+                ranked = np.argsort(ids[order], kind="stable")
+                by_id = np.empty(len(ids), np.int64)
+                by_id[ranked] = np.arange(len(ids))
+                # by cell; the number of each by its id, and the ids in that order
+                entries = ids[order], cells[order], rows[order], by_id, ids[order][ranked]
             if waiting and entries:
                 result = within(
                     entries, np.concatenate([x[0] for x in asked]), [c for x in asked for c in x[1]], np.concatenate([x[2] for x in asked])
@@ -264,12 +309,13 @@ def _rerank(dim: int, k: int, least: float):
 
 
 def nearest(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "vectors", k: int = 10, least: float = 0.85, spread: float = SPREAD
+    vectors: DataFrame, key: str = "vec_id", vector: str = "vectors", k: int = 10, least: float = 0.85, recall: float = RECALL
 ) -> DataFrame:
     """(key, neighbour, cosine, rank): for each vector its k most similar others with a cosine of at least ``least``.
 
     Ties go to the smaller key; cosines count to seven decimals. The result is approximate: a pair can be missed if neither
-    vector's traversal reaches the other's cell. Null, all-zero, too short and not finite vectors, and null keys, are
+    vector's traversal reaches the other's cell. ``recall`` is the share of pairs that the traversal is calibrated to reach; with
+    1 it is exact. Null, all-zero, too short and not finite vectors, and null keys, are
     left out; the length is that of the longest. Keys must be unique integers. Identical vectors are neighbours with cosine
     1, however many there are. An empty table gives no rows; other columns are ignored.
     """
@@ -305,14 +351,16 @@ def nearest(
         dropped = copies.where("id <> first").select("id")
         searched, rows = coded.join(dropped, "id", "left_anti"), rows.join(dropped, "id", "left_anti")
     counts = searched.groupBy("list").count().collect()  # as many rows as centroids
-    limit = spread * 2 * (1 - least)
-    (own1, near1), (own2, near2) = index.borders(sample)
+    (own1, near1), (own2, near2) = borders = index.borders(sample)
+    limit = calibrated(index, sample, borders, least, recall)
     near = Counter(c for i in range(len(sample)) for c in cells_by_list((own1[i], own2[i]), near1[i], near2[i], limit))
     splits = {
         r["list"]: (-(-r["count"] // LIST), max(1, round(near[r["list"]] * n / len(sample) / QUERIES))) for r in counts
     }
     routed = rows.mapInArrow(_routes(dim, index, splits, limit), _ROUTED)
-    routed = routed.repartition("list", "part").sortWithinPartitions("list", "part", F.desc("entry"))
+    dealt = sum(near.values()) * n / len(sample) + n  # as expected from the sample; a list's parts are bounded by LIST and QUERIES
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-int(dealt) // DEALT))
+    routed = routed.repartition(parts, "list", "part").sortWithinPartitions("list", "part", F.desc("entry"))
     pairs = routed.mapInArrow(_rerank(dim, k, least), _PAIRS).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     ends = F.array(
         F.struct(F.col("a").alias("id"), F.col("b").alias("neighbour")), F.struct(F.col("b").alias("id"), F.col("a").alias("neighbour"))
