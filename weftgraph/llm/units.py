@@ -1,55 +1,23 @@
-"""Per-document text statistics, and the structural profile a text is nearest to.
+"""A reading of the units of a text: sentences, list items, table rows, headings, repeats and scraps.
 
-The words of a text are dealt to kinds of units: sentences, list items, table rows, headings, repeats and scraps. Whether a
-stretch is a sentence is told by its length, its end and its share of function words. Three distributions of a text, over
-kinds of units, classes of characters and function words by rank, are compared with each profile's by Jensen-Shannon
-divergence; the nearest profile is the text's. Profiles of prose differ by language: their function words are those of the
-table of common words, weighted by the reciprocal of their rank.
+It labels the bounded sample that the structural profiles of ``prose`` are fitted on, and is asked for nothing else. Whether
+a stretch is a sentence is told by its end and its share of function words.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
-
-#: Kinds of units, in the order of the distributions.
+#: Kinds of units.
 UNITS = ("sentence", "item", "row", "repeat", "scrap", "heading")
 
-#: Classes of characters, in the order of the distributions.
-CLASSES = ("lower", "upper", "digit", "blank", "end mark", "other mark", "symbol")
-
-#: Function words by rank, and all other words.
-RANKS = (3, 8, 16, 32, 1 << 30)
-
 #: Words below which, on average, units that each fill a line of their own are phrases of a list rather than sentences.
 PHRASE = 8.5
 
 #: Words from which a table's cell is a text of its own.
 CELL = 15
 
-#: Weights of the divergences over units, character classes and function words.
-WEIGHTS = (0.7, 0.15, 0.15)
-
-#: Fixed values by profile: shares of the kinds of units, of the classes of characters, and of the ranks of function words
-#: (the last entry is the share of all other words). None: the language's own distribution.
-PROFILES: dict[str, tuple[tuple[float, ...], tuple[float, ...], tuple[float, ...] | None]] = {
-    "prose": ((0.92, 0.02, 0.01, 0.0, 0.02, 0.03), (0.79, 0.03, 0.01, 0.15, 0.01, 0.01, 0.0), None),
-    "list": ((0.03, 0.85, 0.02, 0.0, 0.07, 0.03), (0.74, 0.05, 0.02, 0.15, 0.01, 0.02, 0.01), (0.2, 0.1, 0.05, 0.05, 0.6)),
-    "table": ((0.01, 0.02, 0.9, 0.0, 0.05, 0.02), (0.35, 0.03, 0.25, 0.2, 0.08, 0.02, 0.07), (0.02, 0.01, 0.01, 0.01, 0.95)),
-    "repeats": ((0.1, 0.0, 0.0, 0.85, 0.05, 0.0), (0.79, 0.03, 0.01, 0.15, 0.01, 0.01, 0.0), None),
-    "scraps": ((0.03, 0.02, 0.02, 0.02, 0.86, 0.05), (0.75, 0.05, 0.03, 0.14, 0.01, 0.01, 0.01), (0.1, 0.08, 0.06, 0.06, 0.7)),
-    "noise": ((0.0, 0.0, 0.0, 0.0, 1.0, 0.0), (0.1, 0.05, 0.2, 0.15, 0.1, 0.1, 0.3), (0.0, 0.0, 0.0, 0.0, 1.0)),
-}
-
 _WORD = re.compile(r"[^\W\d_]+(?:['’‑­-][^\W\d_]+)*")
 _MARKER = re.compile(r"(?:[-*•+–—▪◦‣·]|\(?\d{1,3}(?:\.\d{1,3})*[.)]|\d{1,3}(?:\.\d{1,3})+|\(?[A-Za-z][.)]|\[[ xX]?\])\s+")
 _HEADING = re.compile(r"#{1,6}\s|(?:\*\*|__).{1,120}(?:\*\*|__)\s*$|={3,}|-{3,}|\*{3,}")
@@ -61,6 +29,8 @@ _LAST_NUMBER = re.compile(r"[,;]\s+[-+]?\d[\d.,%]*[.;]?$")
 _LEADERS = ("....", ". . . .", "……", "____")
 _SPLIT = re.compile(r"(?<=[.!?…])[\"'”’»)\]*_]*\s+(?=[\"'“‘«(\[¿¡*_]*[^\W_])")
 _CLOSED = re.compile(r"[.!?…:][\"'”’»)\]*_]*$")
+_SPOILT = re.compile(r"[^\W\d_][^\w\s.,'’‑­/-]+(?=[^\W\d_])|[^\W\d_]\d(?=[^\W\d_])")
+_SIGNS = re.compile(r"[^\w.,;:|()'’\"“”/*-]|_")
 _ODD = re.compile(r"[ÃÂâ�][^\s\w]|ï¿½|â€|�")
 
 
@@ -84,9 +54,9 @@ def _cells(line: str) -> int:
 
 
 def _is_sentence(text: str, words: list[str], shared: int) -> bool:
-    """A stretch of 5 to 90 words that isn't an enumeration, with not too many function words or signs that aren't words."""
+    """A stretch of 5 words or more that isn't an enumeration, with not too many function words or signs that aren't words."""
     n = len(words)
-    if not 5 <= n <= 90 or shared > 0.6 * n:
+    if n < 5 or shared > 0.6 * n:
         return False
     stops = text.count(";")
     marks = text.count(",") + stops
@@ -197,137 +167,18 @@ def read(text: str, common: list[frozenset[str]]) -> Reading:
     return result
 
 
-def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon divergence (base 2) of each row of ``p`` from ``q``, from 0 to 1; a row of zeros is at 1."""
-    p, q = np.atleast_2d(np.asarray(p, dtype=float)), np.asarray(q, dtype=float)
-    total = p.sum(axis=1, keepdims=True)
-    p, q = p / np.where(total > 0, total, 1), q / q.sum()
-    m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        left = np.where(p > 0, p * np.log2(p / m), 0).sum(axis=1)
-        right = np.where(q > 0, q * np.log2(q / m), 0).sum(axis=1)
-    return np.where(total[:, 0] > 0, (left + right) / 2, 1.0)
-
-
-class Languages:
-    """Function words by language, from rows (lang, word_rank, word)."""
-
-    def __init__(self, rows: list[tuple[str, int, str]]) -> None:
-        self.bands: dict[str, dict[str, int]] = {}
-        self.prose: dict[str, np.ndarray] = {}
-        for lang, rank, word in sorted(r for r in rows if None not in r):
-            band = next(i for i, last in enumerate(RANKS) if rank <= last)
-            self.bands.setdefault(lang, {}).setdefault(word.lower(), min(band, len(RANKS) - 2))
-        for lang, bands in self.bands.items():
-            ranks = {w.lower(): r for la, r, w in rows if la == lang and w is not None and r is not None}
-            share = np.zeros(len(RANKS))
-            for word, band in bands.items():
-                share[band] += 1 / max(ranks[word], 1)
-            self.prose[lang] = np.append(share[:-1] / max(share[:-1].sum(), 1e-9) * 0.32, 0.68)
-        self.words = {lang: frozenset(b) for lang, b in self.bands.items()}
-
-    def nearest(self, words: Counter[str]) -> list[str]:
-        """Languages by the number of words that are their function words, greatest first; ties by name."""
-        shared = {k: sum(words[w] for w in self.words[k] & words.keys()) for k in sorted(self.words)}
-        return sorted(shared, key=lambda k: -shared[k])
-
-
-def characters(text: str) -> list[int]:
-    """Numbers of characters by class. Long runs of blanks and signs count in full."""
-    plain = text.encode("utf-8", "surrogatepass")
-    counts = np.bincount(np.frombuffer(plain, dtype=np.uint8), minlength=256)
-    lower, upper, digit = counts[97:123].sum() + counts[0xC3:0xC6].sum(), counts[65:91].sum(), counts[48:58].sum()
-    blank = counts[[9, 10, 13, 32]].sum()
-    ends = counts[[33, 46, 63]].sum()
-    marks = counts[[34, 39, 40, 41, 44, 45, 58, 59]].sum()
-    rest = len(text) - lower - upper - digit - blank - ends - marks
-    return [int(x) for x in (lower, upper, digit, blank, ends, marks, max(rest, 0))]
-
-
-STATISTICS = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("mean_word_length", T.DoubleType()),
-        T.StructField("symbol_ratio", T.DoubleType()),
-        T.StructField("ended_lines", T.DoubleType()),
-        T.StructField("common_words", T.DoubleType()),
-        T.StructField("sentence_words", T.DoubleType()),
-        T.StructField("words_lang", T.StringType()),
-        T.StructField("profile", T.StringType()),
-        T.StructField("divergence", T.DoubleType()),
-    ]
-)
-
-
-def measure(texts: list[str | None], languages: Languages) -> dict[str, list]:
-    """The statistics of each text, as columns."""
-    n = len(texts)
-    units, classes, ranks = np.zeros((n, len(UNITS))), np.zeros((n, len(CLASSES))), np.zeros((n, len(RANKS)))
-    out: dict[str, list] = {f.name: [] for f in STATISTICS}
-    for i, text in enumerate(texts):
-        text = text or ""
-        words = _WORD.findall(text.lower())
-        counted = Counter(words)
-        order = languages.nearest(counted)
-        lang = order[0] if order else None
-        bands = languages.bands.get(lang, {})
-        reading = read(text, [languages.words[k] for k in order] or [frozenset()])
-        if not text.isascii() and len(_ODD.findall(text)) * 8 >= len(words):
-            reading.units["scrap"] += reading.units["sentence"]
-            reading.units["sentence"] = 0
-        for w in counted.keys() & bands.keys():
-            ranks[i, bands[w]] += counted[w]
-        ranks[i, -1] = len(words) - ranks[i].sum()
-        units[i] = [reading.units[u] for u in UNITS]
-        classes[i] = characters(text)
-        known = len(words) - ranks[i, -1]
-        signs = classes[i, 4:].sum()
-        out["n_words"].append(len(words))
-        out["mean_word_length"].append(sum(map(len, words)) / len(words) if words else None)
-        out["symbol_ratio"].append(float(signs / len(text)) if text else None)
-        out["ended_lines"].append(reading.ended / reading.lines if reading.lines else None)
-        out["common_words"].append(float(known / len(words)) if words else None)
-        out["sentence_words"].append(float(units[i, 0] / units[i].sum()) if units[i].sum() else None)
-        out["words_lang"].append(lang if known else None)
-    distances = {}
-    for name, (unit, char, rank) in PROFILES.items():
-        d = WEIGHTS[0] * divergence(units, np.array(unit)) + WEIGHTS[1] * divergence(classes, np.array(char))
-        if rank is not None:
-            d += WEIGHTS[2] * divergence(ranks, np.array(rank))
-        else:
-            for lang in {*out["words_lang"]}:
-                at = np.array([x == lang for x in out["words_lang"]])
-                own = languages.prose.get(lang, np.array([0.0] * (len(RANKS) - 1) + [1.0]))
-                d[at] += WEIGHTS[2] * divergence(ranks[at], own)
-        distances[name] = d
-    names = list(PROFILES)
-    table = np.stack([distances[k] for k in names]) if n else np.zeros((len(names), 0))
-    best = table.argmin(axis=0)
-    out["profile"] = [names[b] if units[i].sum() or (texts[i] or "").strip() else "noise" for i, b in enumerate(best)]
-    out["divergence"] = [float(table[b, i]) for i, b in enumerate(best)]
-    return out
-
-
-def text_statistics(docs: DataFrame, common: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, statistics) for every document: counts, shares, the nearest profile and its divergence.
-
-    ``n_words`` runs of letters; ``symbol_ratio`` share of characters that are neither letters, digits nor blanks;
-    ``ended_lines`` share of non-blank lines that end in punctuation; ``common_words`` share of words in the list of the
-    language that most of them belong to, which is ``words_lang``; ``sentence_words`` share of words in sentences.
-
-    Null and empty texts have 0 words, null ratios and the profile ``noise``. Null keys and repeated rows are kept as they
-    are; texts are read as a whole; an empty table gives no rows; other columns are ignored. ``common`` must be a list of
-    frequent words (lang, word_rank, word), a few hundred by language; an empty list leaves all words uncommon.
-    """
-    languages = Languages([tuple(r) for r in common.select("lang", "word_rank", "word").where("word_rank <= 1000").collect()])
-    rows = docs.select(key, text)
-    schema = T.StructType([rows.schema[key], *STATISTICS])
-    arrow = to_arrow_schema(schema)
+#: The profile that a text is labelled with by its main kind of unit.
+LABELS = {"item": "list", "row": "table", "repeat": "repeats", "scrap": "scraps", "heading": "scraps"}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = measure(batch.column(1).to_pylist(), languages)
-            columns = [batch.column(0), *(pa.array(values[f.name], arrow.field(f.name).type) for f in STATISTICS)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+def label(text: str, common: list[frozenset[str]]) -> str:
+    """The structural profile that the units of a text speak for; ``noise`` where characters rather than words make it up."""
+    words = _WORD.findall(text)
+    spoilt = len(_SPOILT.findall(text)) + (0 if text.isascii() else len(_ODD.findall(text)))
+    solid = "".join(text.split())
+    if len(_SIGNS.findall(solid)) * 3 > len(solid) or spoilt * 8 >= max(len(words), 1):
+        return "noise"
+    units = read(text, common).units
+    if units["sentence"] * 2 >= sum(units.values()):
+        return "prose"
+    return LABELS[max(LABELS, key=lambda u: units[u])]
