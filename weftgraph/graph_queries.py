@@ -85,17 +85,23 @@ def code_merges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {NODES_SQL}, full_names AS (
-      SELECT name, unnest(list_distinct([{sql.initials('name')}, {sql.initials('name', False)}])) AS key FROM nodes
+    f"""WITH names AS (
+      SELECT DISTINCT name FROM (
+        SELECT trim(name) AS name FROM entities UNION ALL SELECT trim(alias) FROM alias_table UNION ALL SELECT trim(canonical) FROM alias_table
+      ) WHERE name <> ''
+    ), full_names AS (
+      SELECT name, unnest(list_distinct([{sql.initials('name')}, {sql.initials('name', False)}])) AS key FROM names
       WHERE len(regexp_split_to_array(trim(name), '\\s+')) >= 2
-    ), short AS (SELECT name, regexp_replace(name, '[^A-Za-z0-9]', '', 'g') AS compact FROM nodes)
+    ), short AS (SELECT name, regexp_replace(name, '[^A-Za-z0-9]', '', 'g') AS compact FROM names)
     SELECT DISTINCT least(f.name, s.name) AS a, greatest(f.name, s.name) AS b
     FROM full_names AS f JOIN short AS s ON f.key = lower(s.compact)
     WHERE regexp_matches(s.compact, '^[A-Z]{{2,8}}$') AND f.name <> s.name"""
 )
 def acronym_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of several words and the acronyms that spell their initials."""
-    return candidates.acronym_pairs(nodes(spark, folder).withColumn("focus", F.lit(True)))
+    """Names of several words and the acronyms that spell their initials, among nodes and all names of the alias table."""
+    links = table(spark, folder, "alias_table", F.explode(F.array("alias", "canonical")).alias("name"))
+    names = table(spark, folder, "entities", "name").unionAll(links).select(filled("name").alias("name")).where("name IS NOT NULL").distinct()
+    return candidates.acronym_pairs(names.withColumn("focus", F.lit(True)))
 
 
 @query(

@@ -41,7 +41,7 @@ RECALL, SPREAD = 0.9995, 0.02
 
 #: Queries and entries that are multiplied at once, pairs that are held before each query's best are kept, and vectors with
 #: their cells that one task is dealt, on average.
-BLOCK, HELD, DEALT = (1024, 4096), 2_000_000, 100_000
+BLOCK, HELD, DEALT = (1024, 4096), 2_000_000, 20_000
 
 #: Identical vectors from which only one of them is searched.
 COPIES = 64

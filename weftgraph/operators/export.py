@@ -86,6 +86,60 @@ def plane(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return flat.crossJoin(F.broadcast(ends)).select(key, *scaled)  # one row
 
 
+def shared_papers(neighbours: DataFrame, papers: DataFrame, first: int = 5) -> DataFrame:
+    """One row: the mean over names of the share of their first neighbours (id, neighbour, rank) with a common paper.
+
+    ``papers`` has (id, paper), each pair once; common papers are found by a join, so no name's papers are gathered.
+    """
+    near = neighbours.where(F.col("rank") <= first).select("id", "neighbour")
+    own = near.join(papers.select("id", "paper"), "id")
+    common = own.join(papers.select(F.col("id").alias("neighbour"), "paper"), ["neighbour", "paper"]).select("id", "neighbour").distinct()
+    flagged = near.join(common.withColumn("shared", F.lit(1)), ["id", "neighbour"], "left")
+    each = flagged.groupBy("id").agg(F.avg(F.coalesce("shared", F.lit(0))).alias("share"))
+    return each.agg(F.round(F.avg("share"), 4).alias("agreement"), F.count(F.lit(1)).alias("names"))
+
+
+def probes(near: DataFrame, shown: DataFrame, length: int = 420) -> DataFrame:
+    """(id, rank, sim, neighbour, title, text): what a search finds (id, neighbour, rank, sim), with the hits' titles and the
+    beginnings of their texts (neighbour, title, text)."""
+    start = F.substring(F.trim(F.regexp_replace("text", r"\s+", " ")), 1, length)
+    return near.join(shown.select("neighbour", "title", start.alias("text")), "neighbour").select("id", "rank", "sim", "neighbour", "title", "text")
+
+
+def statistics(nodes: DataFrame, edges: DataFrame, papers: DataFrame) -> DataFrame:
+    """One row: numbers of entities, edges and different papers (paper)."""
+    every = F.count(F.lit(1))
+    rows = nodes.agg(every.alias("entities")), edges.agg(every.alias("edges")), papers.agg(F.countDistinct("paper").alias("papers"))
+    return rows[0].crossJoin(F.broadcast(rows[1])).crossJoin(F.broadcast(rows[2]))  # single rows
+
+
+def vector_rows(names: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(id, name, meta, vector) for the vectors (id, vector) of names (name, and what else is known of it).
+
+    ``meta`` is the JSON of the names' columns; names without a vector are left out.
+    """
+    rows = names.select(vector_id("name").alias("id"), "name", F.to_json(F.struct(*names.columns)).alias("meta"))
+    return rows.join(vectors.select("id", F.col("vector").cast("array<float>").alias("vector")), "id").select("id", "name", "meta", "vector")
+
+
+def review_sheet(rows: DataFrame, question: str) -> DataFrame:
+    """``rows`` as a sheet for a reviewer: lists joined by " | ", and an empty column named after the question."""
+    joined = {f.name: F.array_join(f.name, " | ") for f in rows.schema if f.dataType.typeName() == "array"}
+    return rows.withColumns(joined).withColumn(question, F.lit(""))
+
+
+def sinks(nodes: DataFrame, edges: DataFrame, chunks: DataFrame, concepts: DataFrame, vectors: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    """The tables of an export in their formats, for ``write_all``: graph, vectors, chunks and paper-to-concept rows."""
+    lines = chunks.select(F.col("chunk_id").alias("id"), "arxiv_id", F.col("ord").alias("order"), "tokens", "heading", "content")
+    return {
+        "nodes": (nodes, "parquet"),
+        "edges": (edges, "parquet"),
+        "vectors_entities": (vector_rows(nodes.select("name", "type"), vectors), "parquet"),
+        "chunks": (lines, "json"),
+        "paper_concepts": (concepts.select("arxiv_id", "concept", "type", "extracted_name").orderBy("arxiv_id", "concept", "extracted_name"), "csv"),
+    }
+
+
 def write_all(spark: SparkSession, folder: str, tables: dict[str, tuple[DataFrame, str]]) -> None:
     """Write tables as ``folder/name`` in their formats (parquet, json, csv); an existing table is replaced as a whole."""
     for name, (df, kind) in tables.items():

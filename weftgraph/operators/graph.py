@@ -113,3 +113,8 @@ def hub_verdicts(shown: DataFrame, provider) -> DataFrame:
             yield pd.DataFrame({"name": batch["name"], **{k: [a[k] for a in answers] for k in ("verdict", "senses", "reason")}})
 
     return shown.mapInPandas(run, "name string, verdict string, senses array<string>, reason string")
+
+
+def flagged_hubs(verdicts: DataFrame) -> DataFrame:
+    """(name) of the hubs whose fragments were found to be of several concepts."""
+    return verdicts.where("verdict = 'several'").select("name")

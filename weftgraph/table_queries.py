@@ -9,8 +9,8 @@ from weftgraph.functions import sql
 from weftgraph.functions.names import acronym_like
 from weftgraph.functions.strings import filled
 from weftgraph.graph_queries import ALIAS_SQL, CHAIN_SQL, NODES_SQL, nodes
-from weftgraph.operators import aliases, candidates, cleaning, decisions, export, graph, html, merging, quality, text, vectors
-from weftgraph.quality_queries import EXTRACTED_SQL, _extracted
+from weftgraph.operators import aliases, candidates, chunks, cleaning, decisions, export, graph, html, merging, quality, text, vectors
+from weftgraph.quality_queries import EXTRACTED_SQL, _extracted, _near
 from weftgraph.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -524,3 +524,79 @@ def cleaned_papers(spark: SparkSession, folder: str) -> DataFrame:
     """What a second cleanup leaves of the cleaned papers; none of them has references or appendices any more."""
     found = cleaning.cleaned(latest_papers(spark, folder), ["arxiv_id"], "text")
     return found.select("arxiv_id", "text", "tokens_before", "tokens_after", F.array_join("flags", "; ").alias("flags"))
+
+
+@query(
+    f"""WITH RECURSIVE {PAPERS_SQL}, s AS (SELECT DISTINCT arxiv_id, sec_no, heading_level, start_line, end_line FROM sections),
+    bodies AS (
+      SELECT s.arxiv_id, s.sec_no, array_to_string(string_split(p.text, chr(10))[s.start_line + 1 + CAST(s.heading_level > 0 AS INT) : s.end_line], chr(10)) AS body
+      FROM s JOIN papers AS p USING (arxiv_id)
+    ), split AS (
+      SELECT arxiv_id, sec_no, unnest(list_filter(list_transform(regexp_split_to_array(body, '\\n\\s*\\n'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '')) AS t,
+        generate_subscripts(list_filter(list_transform(regexp_split_to_array(body, '\\n\\s*\\n'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> ''), 1) AS i FROM bodies
+    ), paras AS (SELECT *, {_TOKENS.format('t')} AS n FROM split),
+    walk(arxiv_id, sec_no, i, total, grp) AS (
+      SELECT arxiv_id, sec_no, i, n, 0 FROM paras WHERE i = 1
+      UNION ALL
+      SELECT p.arxiv_id, p.sec_no, p.i, CASE WHEN w.total + p.n <= 120 THEN w.total + p.n ELSE p.n END, CASE WHEN w.total + p.n <= 120 THEN w.grp ELSE w.grp + 1 END
+      FROM walk AS w JOIN paras AS p ON p.arxiv_id = w.arxiv_id AND p.sec_no = w.sec_no AND p.i = w.i + 1
+    ), grouped AS (
+      SELECT w.arxiv_id, w.sec_no, w.grp, string_agg(p.t, chr(10) || chr(10) ORDER BY p.i) AS content, sum(p.n) AS tokens
+      FROM walk AS w JOIN paras AS p USING (arxiv_id, sec_no, i) GROUP BY ALL
+    )
+    SELECT arxiv_id, CAST(row_number() OVER (PARTITION BY arxiv_id ORDER BY sec_no, grp) - 1 AS INT) AS ord, CAST(tokens AS BIGINT) AS tokens, content FROM grouped"""
+)
+def paper_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks of the papers of at most 120 tokens, a size at which their short sections are split too."""
+    found = chunks.chunks(latest_papers(spark, folder), "arxiv_id", "text", 120)
+    return found.select("arxiv_id", "ord", "tokens", "content")
+
+
+@query(
+    """WITH near AS (
+      SELECT q.vec_id AS id, e.vec_id AS neighbour, row_number() OVER (PARTITION BY q.vec_id ORDER BY
+        round(list_inner_product(q.v, e.v) / sqrt(list_inner_product(q.v, q.v)) / sqrt(list_inner_product(e.v, e.v)), 4) DESC, e.vec_id) AS rank
+      FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 = 0) AS q,
+        (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) AS e WHERE q.vec_id <> e.vec_id QUALIFY rank <= 5
+    ), papers AS (SELECT vec_id AS id, unnest([label, vec_id % 7 + 100]) AS paper FROM embeddings),
+    shares AS (
+      SELECT id, avg(CAST(EXISTS (SELECT 1 FROM papers AS x JOIN papers AS y USING (paper) WHERE x.id = near.id AND y.id = near.neighbour) AS INT)) AS share FROM near GROUP BY id
+    ) SELECT round(avg(share), 4) AS agreement, CAST(count(*) AS BIGINT) AS names FROM shares"""
+)
+def nn_shared_papers(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the five nearest vectors have a paper in common; papers are made of labels and ids."""
+    rows = table(spark, folder, "embeddings", "vec_id", "label")
+    papers = rows.select(F.col("vec_id").alias("id"), F.explode(F.array(F.col("label").cast("bigint"), F.col("vec_id") % 7 + 100)).alias("paper"))
+    return export.shared_papers(_near(spark, folder, 5), papers)
+
+
+@query(
+    """SELECT (SELECT count(DISTINCT trim(name)) FROM entities WHERE trim(name) <> '') AS entities,
+      (SELECT count(*) FROM (SELECT DISTINCT trim(alias), trim(canonical), lower(trim(verdict)) FROM alias_table
+        WHERE trim(alias) <> '' AND trim(canonical) <> '' AND trim(alias) <> trim(canonical))) AS edges,
+      (SELECT count(DISTINCT arxiv_id) FROM manifest) AS papers"""
+)
+def explorer_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers of nodes, links and papers."""
+    return export.statistics(nodes(spark, folder), _links(spark, folder), table(spark, folder, "manifest", F.col("arxiv_id").alias("paper")))
+
+
+@query(
+    """SELECT merge_id, trim(canonical) AS canonical, array_to_string(aliases, ' | ') AS aliases, method, cluster_id, reason, '' AS "correct? (y/n)"
+    FROM (SELECT DISTINCT merge_id, canonical, aliases, method, cluster_id, reason FROM merges WHERE trim(canonical) <> '')"""
+)
+def review_sheet(spark: SparkSession, folder: str) -> DataFrame:
+    """The merge log as a sheet for reviewers."""
+    rows = table(spark, folder, "merges", "merge_id", "canonical", "aliases", "method", "cluster_id", "reason").withColumn("canonical", filled("canonical"))
+    return export.review_sheet(rows.where("canonical IS NOT NULL").distinct(), "correct? (y/n)")
+
+
+@query(
+    """SELECT v.ent_id AS id, v.name, len(v.vectors) AS length, e.type FROM (SELECT name, ent_id, vectors FROM vectors_entities WHERE vectors IS NOT NULL) AS v
+    JOIN (SELECT trim(name) AS name, min(lower(trim(entity_type))) AS type FROM entities WHERE trim(name) <> '' GROUP BY 1) AS e ON 'ent-' || md5(e.name) = v.ent_id"""
+)
+def vector_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes with their vectors, as they are exported; the type is read back from the JSON of what is known of a name."""
+    rows = table(spark, folder, "vectors_entities", F.col("ent_id").alias("id"), F.col("vectors").alias("vector")).where("vector IS NOT NULL")
+    found = export.vector_rows(nodes(spark, folder).select("name", "type"), rows)
+    return found.select("id", "name", F.size("vector").cast("bigint").alias("length"), F.get_json_object("meta", "$.type").alias("type"))
