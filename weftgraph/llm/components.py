@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from weftgraph.functions.strings import filled
 from weftgraph.plans.lineage import cut
 
-#: Most forest edges of one task. A task holds about 200 bytes an edge.
-BOUND = 500_000
+#: Most forest edges of one task, which holds about 200 bytes an edge. Small, so that levels are usual rather than an exception.
+BOUND = 50_000
 
 
 def roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
