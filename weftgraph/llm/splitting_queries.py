@@ -48,6 +48,24 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces}
 
+_SPACE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_ENDED = r"""[.!?…。！？]["'')\]}}»”’]?"""
+
+
+def _stop(pos: str, room: int) -> str:
+    """Where a piece whose new text begins at ``pos`` ends: the farthest paragraph, line, sentence or word end, in this order."""
+    near = f"substring(body, {pos} + 1, {room} + 1)"
+    strong = (rf"\n{_SPACE}*\n{_SPACE}*", rf"\n{_SPACE}*", rf"(?:{_ENDED.replace('}}', '}')}{_SPACE}+|\n{_SPACE}*)", rf"{_SPACE}+")
+    cases = ""
+    for pattern, share in zip(strong, (2, 2, 2, 4)):
+        found = f"length(regexp_extract({near}, '^((?s:.*){pattern})[^{_SPACE[1:]}', 1))"
+        cases += f" WHEN {found} >= {max(room // share, 1)} THEN {pos} + {found}"
+    # without these, the farthest of the places that part a long stretch without blanks into 168 characters each
+    word = f"length(regexp_extract({near}, '^((?s:.*){strong[3]})[^{_SPACE[1:]}', 1))"
+    anywhere = f"{pos} + {word} + (({room} - {word}) // 168) * 168"
+    return f"CASE WHEN {pos} + {room} >= length(body) THEN length(body){cases} ELSE {anywhere} END"
+
+
 ORACLES = {
     "p3_found": r"""
         WITH texts AS (SELECT DISTINCT arxiv_id, text FROM clean_results),
@@ -58,4 +76,19 @@ ORACLES = {
           FROM texts JOIN spans USING (arxiv_id)
         )
         SELECT arxiv_id, sec_no FROM bodies WHERE length(body) > 1500""",
+    "p3_pieces": rf"""
+        WITH RECURSIVE texts AS (SELECT DISTINCT arxiv_id, text FROM clean_results),
+        spans AS (SELECT DISTINCT arxiv_id, sec_no, heading_level, start_line, end_line, title FROM sections),
+        bodies AS (
+          SELECT arxiv_id, sec_no, title, trim(array_to_string(list_slice(string_split(text, chr(10)),
+            start_line + 1 + CAST(heading_level > 0 AS INT), end_line), chr(10)), ' ' || chr(9) || chr(10) || chr(13)) AS body
+          FROM texts JOIN spans USING (arxiv_id)
+        ), cuts(arxiv_id, sec_no, title, body, piece_no, pos, stop) AS (
+          SELECT arxiv_id, sec_no, title, body, 0, 0, {_stop('0', 1500)} FROM bodies WHERE body <> ''
+          UNION ALL
+          SELECT arxiv_id, sec_no, title, body, piece_no + 1, stop, {_stop('stop', 1350)} FROM cuts WHERE stop < length(body)
+        )
+        SELECT arxiv_id, sec_no, title, CAST(piece_no AS INT) AS piece_no, CAST(CASE WHEN piece_no > 0 THEN pos - 150 ELSE 0 END AS INT) AS piece_start,
+          CAST(stop AS INT) AS piece_end, substring(body, CASE WHEN piece_no > 0 THEN pos - 149 ELSE 1 END, stop - CASE WHEN piece_no > 0 THEN pos - 150 ELSE 0 END) AS piece
+        FROM cuts""",
 }
