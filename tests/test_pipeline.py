@@ -19,22 +19,25 @@ PAPERS = [
 ]
 
 
-class Hashed:
-    """Vectors from the hashes of words."""
+def hashed():
+    """A provider of vectors from the hashes of words; made here, so that workers need not import this module."""
 
-    def embed(self, texts):
-        rows = []
-        for text in texts:
-            row = [0.0] * 16
-            for word in text.lower().split():
-                row[hashlib.md5(word[:6].encode()).digest()[0] % 16] += 1.0
-            rows.append(row)
-        return rows
+    class Hashed:
+        def embed(self, texts):
+            rows = []
+            for text in texts:
+                row = [0.0] * 16
+                for word in text.lower().split():
+                    row[hashlib.md5(word[:6].encode()).digest()[0] % 16] += 1.0
+                rows.append(row)
+            return rows
+
+    return Hashed()
 
 
 def test_runs(spark, tmp_path):
     folder = str(tmp_path / "run")
-    run = Run(spark, folder, Providers(embedding=Hashed()))
+    run = Run(spark, folder, Providers(embedding=hashed()))
     df = spark.createDataFrame(PAPERS, "arxiv_id string, text string")
     report = run.run(df, spark.createDataFrame([("Deep Lab",)], "name string"))
     assert list(report) == ["intake", "clean", "ingest", "resolve", "clean_graph", "quality", "export"]
@@ -45,7 +48,7 @@ def test_runs(spark, tmp_path):
     assert rows.columns == ["arxiv_id", "concept", "type", "extracted_name"] and rows.where("concept = 'SBERT'").count() == 2
     assert spark.read.json(f"{folder}/export/chunks").columns == ["arxiv_id", "content", "heading", "id", "order", "tokens"]
     assert spark.read.parquet(f"{folder}/export/vectors_entities").count() >= 1
-    again = Run(spark, folder, Providers(embedding=Hashed()))
+    again = Run(spark, folder, Providers(embedding=hashed()))
     again._began = 0
     again.intake(spark.createDataFrame([PAPERS[1], ("2401.00001", "# One\nNow SBERT only.")], df.schema))
     assert again.report()["intake"]["papers"] == 1
@@ -68,7 +71,7 @@ def test_chunks(spark):
 
 def test_embedding(spark):
     df = spark.createDataFrame([(i, f"word{i} text" if i else None) for i in range(70)], "id int, text string")
-    rows = embedded(df, "id", "text", Hashed(), batch=8).collect()
+    rows = embedded(df, "id", "text", hashed(), batch=8).collect()
     assert len(rows) == 69 and all(abs(sum(x * x for x in r["vector"]) - 1) < 1e-9 for r in rows)
     waits, calls = [], []
 

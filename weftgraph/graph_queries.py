@@ -85,10 +85,12 @@ def code_merges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH names AS (
+    f"""WITH known AS (
       SELECT DISTINCT name FROM (
         SELECT trim(name) AS name FROM entities UNION ALL SELECT trim(alias) FROM alias_table UNION ALL SELECT trim(canonical) FROM alias_table
       ) WHERE name <> ''
+    ), names AS (
+      SELECT name FROM known UNION SELECT upper({sql.initials('name')}) FROM known WHERE regexp_matches(name, '\\s')
     ), full_names AS (
       SELECT name, unnest(list_distinct([{sql.initials('name')}, {sql.initials('name', False)}])) AS key FROM names
       WHERE len(regexp_split_to_array(trim(name), '\\s+')) >= 2
@@ -98,9 +100,11 @@ def code_merges(spark: SparkSession, folder: str) -> DataFrame:
     WHERE regexp_matches(s.compact, '^[A-Z]{{2,8}}$') AND f.name <> s.name"""
 )
 def acronym_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of several words and the acronyms that spell their initials, among nodes and all names of the alias table."""
+    """Names of several words and the acronyms that spell their initials, among nodes, names of the alias table and their acronyms."""
     links = table(spark, folder, "alias_table", F.explode(F.array("alias", "canonical")).alias("name"))
-    names = table(spark, folder, "entities", "name").unionAll(links).select(filled("name").alias("name")).where("name IS NOT NULL").distinct()
+    names = table(spark, folder, "entities", "name").unionAll(links).select(filled("name").alias("name")).where("name IS NOT NULL")
+    made = names.where(F.col("name").rlike(r"\s")).select(F.upper(initials(F.col("name"))).alias("name"))
+    names = names.unionAll(made).distinct()
     return candidates.acronym_pairs(names.withColumn("focus", F.lit(True)))
 
 
@@ -167,6 +171,13 @@ def alias_chain(spark: SparkSession, folder: str) -> DataFrame:
     return aliases.resolved(known, known.select(F.col("alias").alias("name")))
 
 
+@query(f"WITH RECURSIVE {ALIAS_SQL}, {CHAIN_SQL} SELECT name, final FROM chain")
+def alias_chain_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each alias leads in the end, by joins alone, as for tables that no task could hold."""
+    known = aliases.canonical_of(table(spark, folder, "alias_table")).where("alias <> canonical")
+    return aliases.resolved(known, known.select(F.col("alias").alias("name")), bound=0)
+
+
 @query(
     f"""WITH {ALIAS_SQL}, pairs AS (
       SELECT DISTINCT least(alias, canonical) AS a, greatest(alias, canonical) AS b FROM decided WHERE verdict = 'same'
@@ -192,6 +203,19 @@ def connected_components(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.components(rows.select(F.col("alias").alias("a"), F.col("canonical").alias("b")))
 
 
+@query(
+    f"""WITH RECURSIVE {ALIAS_SQL}, links AS (
+      SELECT alias AS a, canonical AS b FROM decided WHERE verdict IN ('same', 'related') AND alias <> canonical
+    ), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach(name, other) AS (SELECT a, a FROM both_ways UNION SELECT r.name, e.b FROM reach AS r JOIN both_ways AS e ON r.other = e.a)
+    SELECT name, min(other) AS component FROM reach GROUP BY name"""
+)
+def connected_components_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """Names linked by same or related, by joins alone, as for graphs that no task could hold."""
+    rows = aliases.decided(table(spark, folder, "alias_table")).where("verdict IN ('same', 'related')")
+    return clusters.components(rows.select(F.col("alias").alias("a"), F.col("canonical").alias("b")), bound=0)
+
+
 @query()
 def ego_cover(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of at most eight names that cover all linked pairs."""

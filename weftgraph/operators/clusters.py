@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush, nsmallest
 
 import pandas as pd
 import pyarrow as pa
@@ -74,26 +75,34 @@ def cover(pairs: list[tuple[str, str, float]], most: int) -> list[list[str]]:
 
     A seed with the most uncovered pairs (ties: the greater name) takes its uncovered neighbours by weight, then name.
     """
-    names = sorted({n for a, b, _ in pairs for n in (a, b)})
-    if len(names) <= most:
-        return [names]
     weights: dict[str, dict[str, float]] = defaultdict(dict)
     for a, b, w in pairs:
         weights[a][b] = weights[b][a] = w
+    if len(weights) <= most:
+        return [sorted(weights)]
+    # the heap holds each name's open pairs as they once were; names come out greatest first, by their order in the alphabet
+    place = {n: i for i, n in enumerate(sorted(weights, reverse=True))}
     open_pairs = {n: set(others) for n, others in weights.items()}
+    heap = [(-len(others), place[n], n) for n, others in open_pairs.items()]
+    heapify(heap)
     found = []
-    while True:
-        seed = max((n for n in open_pairs if open_pairs[n]), key=lambda n: (len(open_pairs[n]), n), default=None)
-        if seed is None:
-            return found
-        near = sorted(open_pairs[seed], key=lambda n: (-weights[seed][n], n))[: most - 1]
+    while heap:
+        size, _, seed = heappop(heap)
+        if -size != len(open_pairs[seed]):  # fewer by now
+            if open_pairs[seed]:
+                heappush(heap, (-len(open_pairs[seed]), place[seed], seed))
+            continue
+        near = nsmallest(most - 1, open_pairs[seed], key=lambda n: (-weights[seed][n], n))
         cluster = [seed, *near]
         for x in cluster:
             open_pairs[x] -= set(cluster)
+        if open_pairs[seed]:
+            heappush(heap, (-len(open_pairs[seed]), place[seed], seed))
         found.append(sorted(cluster))
+    return found
 
 
-def ego_cover(weighted: DataFrame, most: int = 8, largest: int = 100_000) -> DataFrame:
+def ego_cover(weighted: DataFrame, most: int = 8, largest: int = 1_000_000) -> DataFrame:
     """(component, cluster_no, name) of a cover of the pairs (a, b, weight).
 
     The cover of a component is sequential, so a component is worked on by one task. Components of more than ``largest`` pairs
