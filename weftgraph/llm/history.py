@@ -126,13 +126,18 @@ def _deletions(word: str) -> set[str]:
     return found
 
 
-def tokens(letters: list[str], signs: list[str], probing: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of names, and a token of each: those to index, or all that must be looked up.
+#: What a token is to the name it is looked up for.
+OTHER, WHOLE, STRETCH = range(3)
 
+
+def tokens(letters: list[str], signs: list[str], probing: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of names, a token of each, and what it is: all tokens that must be looked up, or only those to index.
+
+    To index are the tokens of short names (``WHOLE``) and the stretches of long ones in their own places (``STRETCH``).
     Tokens are hashes of a stretch, its number, the indexed name's length and its signs; equal hashes of other stretches
     only cost a verification.
     """
-    owners, values = [], []
+    owners, values, kinds = [], [], []
     by_signs: dict[str, int] = {}
     seeds = np.array([by_signs.setdefault(s, len(by_signs)) for s in signs], dtype=np.int64)
     width = max(map(len, by_signs), default=0) + 1
@@ -150,6 +155,7 @@ def tokens(letters: list[str], signs: list[str], probing: bool) -> tuple[np.ndar
             for i, s in zip(at.tolist(), seed):
                 for rest in _deletions(letters[i]):
                     owners.append(np.array([i]))
+                    kinds.append(np.array([WHOLE if length <= SHORT else OTHER], dtype=np.int8))
                     values.append(_mixed(_hashes(np.array([[ord(c) for c in rest]], dtype=np.uint64).reshape(1, -1)) ^ s))
         text = "".join(letters[i] for i in at.tolist()).encode("utf-32-le")
         chars = np.frombuffer(text, dtype=np.uint32).reshape(len(at), length).astype(np.uint64)
@@ -161,25 +167,26 @@ def tokens(letters: list[str], signs: list[str], probing: bool) -> tuple[np.ndar
                     if 0 <= start + move and start + move + size <= length:
                         part = _hashes(chars[:, start + move : start + move + size])
                         owners.append(at)
+                        kinds.append(np.full(len(at), STRETCH if indexed == length and not move else OTHER, dtype=np.int8))
                         values.append(_mixed(part ^ seed ^ np.uint64((indexed * STRETCHES + number + 1) * 0x632BE59BD9B4E019 % (1 << 64))))
     if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(owners), np.concatenate(values).view(np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int8)
+    return np.concatenate(owners), np.concatenate(values).view(np.int64), np.concatenate(kinds)
 
 
 def _with_tokens(df: DataFrame, kept: list[str], probing: bool) -> DataFrame:
-    """(kept columns, token) of rows with letters and signs; also long: whether the token is a long name's stretch."""
+    """(kept columns, token, kind) of rows with letters and signs."""
     rows = df.select(*kept, F.col("letters").alias("__l"), F.col("signs").alias("__s"))
-    schema = rows.drop("__l", "__s").schema.add("token", T.LongType())
+    schema = rows.drop("__l", "__s").schema.add("token", T.LongType()).add("kind", T.ByteType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for low in range(0, big.num_rows, 4096):
                 batch = big.slice(low, 4096)
-                owner, value = tokens(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), probing)
+                owner, value, kind = tokens(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), probing)
                 at = pa.array(owner)
-                arrays = [*(c.take(at) for c in batch.columns[: len(kept)]), pa.array(value)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "token"])
+                arrays = [*(c.take(at) for c in batch.columns[: len(kept)]), pa.array(value), pa.array(kind)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "token", "kind"])
 
     return rows.mapInArrow(run, schema)
 
@@ -217,7 +224,7 @@ class NameIndex:
         return found.drop("bucket")
 
     def _met(self, probes: DataFrame) -> DataFrame:
-        """(kid, token, l, s, batch, record): postings with the tokens of ``probes`` (kid, token).
+        """(kid, token, l, s, batch, record): postings with the tokens of ``probes`` (kid, token, kind).
 
         Nothing of the index is shuffled: probes are taken in as many parts by bucket as it takes for a part to be sent to all
         workers, and each part meets its own buckets only. A part that is greater all the same, as one token can be in any
@@ -232,7 +239,7 @@ class NameIndex:
         found = []
         for number in range(parts):
             wanted = {b: n for b, n in sizes.items() if b % parts == number}
-            side = probes.where(F.pmod("token", F.lit(parts)) == number)
+            side = probes.where(F.pmod("token", F.lit(parts)) == number).select("kid", "token")
             side = F.broadcast(side) if sum(wanted.values()) <= PROBES else side
             old = self.postings(set(wanted)).withColumnsRenamed({"letters": "l", "signs": "s"})
             found.append(cut(old.join(side, "token")))  # one part after the other
@@ -254,10 +261,10 @@ class NameIndex:
         probes = cut(_with_tokens(own, ["kid"], True))
         old = self._met(probes)
         lengths = old.groupBy("token", "kid").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max("n").alias("n"))
-        new = cut(self._prefixes(own, lengths))
+        new = cut(self._prefixes(own, probes, lengths))
         size = new.count()
         here = (F.broadcast(new) if size <= PROBES // 4 else new).withColumnsRenamed({"letters": "l", "signs": "s"})
-        both = old.withColumn("old", F.lit(True)).unionByName(probes.join(here, "token").withColumn("old", F.lit(False)))
+        both = old.withColumn("old", F.lit(True)).unionByName(probes.select("kid", "token").join(here, "token").withColumn("old", F.lit(False)))
         pairs = own.select("kid", "letters", "signs").join(both.drop("token"), "kid").where(
             (F.col("signs") == F.col("s"))
             & (F.abs(F.char_length("letters") - F.char_length("l")) <= EDITS)
@@ -274,23 +281,24 @@ class NameIndex:
         if self.segments():
             self.check(keys)
         else:
-            new = cut(self._prefixes(cut(keys.select(*_KEY)), None))
+            own = cut(keys.select(*_KEY).withColumn("kid", F.xxhash64("letters", "signs")))
+            new = cut(self._prefixes(own, cut(_with_tokens(own, ["kid"], False)), None))
             self._append(new, new.count())
 
-    def _prefixes(self, keys: DataFrame, lengths: DataFrame | None) -> DataFrame:
-        """Postings of keys: the stretches with the shortest lists in the index (token, n) and the batch, or all tokens of
-        short names."""
-        long = F.char_length("letters") > SHORT
-        stretches = _with_tokens(keys.where(long), _KEY, False)
+    def _prefixes(self, own: DataFrame, found: DataFrame, lengths: DataFrame | None) -> DataFrame:
+        """Postings of the keys ``own`` from their tokens ``found`` (kid, token, kind): the stretches with the shortest lists in
+        the index (token, n) and the batch, or all tokens of short names."""
+        stretches = found.where(F.col("kind") == STRETCH).select("kid", "token")
         lists = stretches.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
         if lengths is not None:
             lists = lists.unionAll(lengths.select("token", "n")).groupBy("token").agg(F.sum("n").alias("n"))
-        lists = lists.where(F.col("n") >= FREQUENT)
-        rated = stretches.join(lists, "token", "left").groupBy(*_KEY).agg(
-            F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ts")
-        )  # five at most
-        prefix = rated.select(*_KEY, F.explode(F.slice("ts", 1, KEPT)).alias("t")).select(F.col("t.token").alias("token"), *_KEY)
-        return prefix.unionByName(_with_tokens(keys.where(~long), _KEY, False))
+        rated = stretches.join(lists.where(F.col("n") >= FREQUENT), "token", "left").groupBy("kid").agg(
+            F.sort_array(F.collect_set(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ts")
+        )  # five, or more where names share a hash, of which all are kept
+        rarest = F.when(F.size("ts") > STRETCHES, F.col("ts")).otherwise(F.slice("ts", 1, KEPT))
+        prefix = rated.select("kid", F.explode(rarest).alias("t")).select("kid", "t.token")
+        short = found.where(F.col("kind") == WHOLE).select("kid", "token")
+        return prefix.unionByName(short).join(own, "kid").select("token", *_KEY)
 
     def _write(self, postings: DataFrame, size: int) -> tuple[str, int, int]:
         """A segment of at most ``size`` postings."""
