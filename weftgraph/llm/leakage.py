@@ -14,7 +14,6 @@ turning the segment's lists back into the order of its words.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 from itertools import chain
