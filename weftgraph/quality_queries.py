@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.functions import sql
 from weftgraph.functions.strings import filled
 from weftgraph.graph_queries import ALIAS_SQL, CHAIN_SQL, NODES_SQL, nodes
-from weftgraph.operators import aliases, candidates, clusters, decisions, export, graph, quality, vectors
+from weftgraph.operators import aliases, candidates, clusters, decisions, export, quality, vectors
 from weftgraph.sources.tables import table
 
 QUERIES, ORACLES = {}, {}

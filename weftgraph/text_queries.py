@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.operators import html, intake, text
+from weftgraph.operators import intake, text
 from weftgraph.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
