@@ -28,3 +28,9 @@ def test_accepted_neighbours_of_every_vector(spark, tmp_path):
     _tables(spark, tmp_path, _couples(15))
     found = {(r["a"], r["b"]) for r in table_queries.accepted_neighbours(spark, str(tmp_path)).collect() if r["sim"] > 0.9}
     assert found == {tuple(sorted((f"name {i}", f"name {i + 1}"))) for i in range(1, 30, 2)}
+
+
+def test_candidate_kinds_of_every_vector(spark, tmp_path):
+    _tables(spark, tmp_path, _couples(15))
+    found = {(r["a"], r["b"]): r["kinds"] for r in table_queries.candidate_kinds(spark, str(tmp_path)).collect() if r["sim"] and r["sim"] > 0.9}
+    assert found == {tuple(sorted((f"name {i}", f"name {i + 1}"))): "vector" for i in range(1, 30, 2)}
