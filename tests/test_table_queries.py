@@ -1,8 +1,12 @@
 """Queries on the entity vectors over small tables of their own."""
 
+import tracemalloc
+
 import numpy as np
+import pytest
 
 from weftgraph import table_queries
+from weftgraph.operators import vectors
 
 ENTITIES = "entity_row bigint, name string, entity_type string, degree bigint, description string"
 ALIASES = "seq bigint, alias string, canonical string, verdict string, decided_on string"
@@ -34,3 +38,48 @@ def test_candidate_kinds_of_every_vector(spark, tmp_path):
     _tables(spark, tmp_path, _couples(15))
     found = {(r["a"], r["b"]): r["kinds"] for r in table_queries.candidate_kinds(spark, str(tmp_path)).collect() if r["sim"] and r["sim"] > 0.9}
     assert found == {tuple(sorted((f"name {i}", f"name {i + 1}"))): "vector" for i in range(1, 30, 2)}
+
+
+@pytest.mark.parametrize("groups", [1, 2, 3, 4])
+def test_all_neighbours_by_groups(spark, monkeypatch, groups):
+    """Crowds, copies, ties and vectors that can't be compared, in one group and in several, against brute force."""
+    rng = np.random.default_rng(groups)
+    ways = rng.normal(size=(40, 12))
+    rows = [(int(i), (ways[rng.integers(40)] + rng.normal(size=12) * 0.3).astype(np.float32).tolist()) for i in rng.permutation(2500)]
+    rows += [(5000 + i, rows[3][1]) for i in range(30)] + [(6000 + i, np.sign(rng.normal(size=12)).tolist()) for i in range(200)]
+    odd = [(7000, None), (7001, [0.0] * 12), (7002, [1.0] * 5), (7003, [float("nan")] * 12), (7004, [None] + [1.0] * 11), (None, rows[0][1])]
+    monkeypatch.setattr(vectors, "GROUP", -(-(len(rows) + 4) // groups))
+    monkeypatch.setattr(vectors, "SAMPLE", 900)
+    df = spark.createDataFrame(rows + odd, "id bigint, vector array<float>")
+    got = {(r["id"], r["rank"]): (r["neighbour"], r["sim"]) for r in vectors.all_neighbours(df, 10).collect()}
+    ids, m = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    sims = np.round(m @ m.T, 4)
+    np.fill_diagonal(sims, -9)
+    expected = {}
+    for r, i in enumerate(ids):
+        for rank, c in enumerate(np.lexsort((ids, -sims[r]))[:10]):
+            expected[(i, rank + 1)] = ids[c], sims[r, c]
+    assert got == expected
+
+
+def test_fewer_vectors_than_asked_for(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "id bigint, vector array<double>")
+    assert [(r["id"], r["neighbour"], r["rank"]) for r in vectors.all_neighbours(df, 10).orderBy("id", "rank").collect()] == [
+        (0, 1, 1), (0, 2, 2), (1, 2, 1), (1, 0, 2), (2, 1, 1), (2, 0, 2)
+    ]
+    assert vectors.all_neighbours(df.limit(0), 10).count() == 0
+
+
+def test_memory_of_neighbours_is_bounded():
+    """20,000 vectors, of which 4,000 are copies; as many queries against 2,048 vectors were 328 MB of cosines alone."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(20_000, 64)).astype(np.float32)
+    rows[:4000] = rows[0]
+    tracemalloc.start()
+    side = vectors._Side(np.arange(20_000), rows, np.full(20_000, 0.3), 10)
+    vectors._meet(side, side, np.empty(vectors.TILE[0] * vectors.TILE[1] + 8, np.float32))
+    side.settle()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and side.names[5].tolist() == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
