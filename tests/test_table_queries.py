@@ -2,6 +2,7 @@
 
 import tracemalloc
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -83,3 +84,16 @@ def test_memory_of_neighbours_is_bounded():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 300e6 and side.names[5].tolist() == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
+
+
+def test_candidate_kinds_by_groups_is_as_its_sql(spark, tmp_path, monkeypatch):
+    """Vectors in four groups, with copies and couples, against the query's SQL."""
+    monkeypatch.setattr(vectors, "GROUP", 60)
+    couples = _couples(100)
+    _tables(spark, tmp_path, couples + [(300 + i, couples[3][1]) for i in range(14)])
+    base = duckdb.connect()
+    for name in ("entities", "vectors_entities", "alias_table"):
+        base.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = base.sql(f"SELECT a, b, sim, kinds FROM ({table_queries.ORACLES['candidate_kinds']})").fetchall()
+    found = [(r["a"], r["b"], r["sim"], r["kinds"]) for r in table_queries.candidate_kinds(spark, str(tmp_path)).collect()]
+    assert len(found) > 1000 and sorted(found) == sorted(expected)
