@@ -97,3 +97,19 @@ def test_candidate_kinds_by_groups_is_as_its_sql(spark, tmp_path, monkeypatch):
     expected = base.sql(f"SELECT a, b, sim, kinds FROM ({table_queries.ORACLES['candidate_kinds']})").fetchall()
     found = [(r["a"], r["b"], r["sim"], r["kinds"]) for r in table_queries.candidate_kinds(spark, str(tmp_path)).collect()]
     assert len(found) > 1000 and sorted(found) == sorted(expected)
+
+
+def test_memory_of_tiles_is_small():
+    """6,000 vectors against as many, with floors that few pairs reach; tiles of 1,024 by 2,048 took 11 MB."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(12_000, 64)).astype(np.float32)
+    sides = [vectors._Side(np.arange(6000) + low, rows[low : low + 6000], np.full(6000, 0.55), 10) for low in (0, 6000)]
+    tracemalloc.start()
+    vectors._meet(*sides, np.empty(vectors.TILE[0] * vectors.TILE[1] + 8, np.float32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = {(i, j) for side in sides for i, names in zip(side.ids.tolist(), (side.settle(), side.names)[1].tolist()) for j in names if j >= 0}
+    units = rows.astype(np.float64) / np.linalg.norm(rows.astype(np.float64), axis=1, keepdims=True)
+    q, e = np.nonzero(units[:6000] @ units[6000:].T > 0.551)
+    assert 0 < len(q) and {*zip(q.tolist(), (e + 6000).tolist())} <= found and {*zip((e + 6000).tolist(), q.tolist())} <= found
+    assert peak < 8e6
